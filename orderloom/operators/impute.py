@@ -20,8 +20,8 @@ def group_mean(df: DataFrame, key: str, columns: dict[str, Column]) -> DataFrame
     group without any valid value leaves NULL. ``key`` moves to the front of the result.
 
     The means are a partial aggregate of one row per group, joined back without a hint: the optimiser
-    broadcasts them if their measured size allows and otherwise splits a hot group's partition, so
-    no task ever holds a whole group. Both branches share one deduplication shuffle below.
+    broadcasts them if their size allows and otherwise splits a hot group's partition, so no task
+    ever holds a whole group, as a window over the group would.
     """
     others = [c for c in df.columns if c != key]
     joined = df.join(group_means(df, key, columns), key, "left")

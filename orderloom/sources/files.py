@@ -7,6 +7,7 @@ from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -62,7 +63,11 @@ def csv_table(
 
 
 def drain(stream: DataFrame, path: str, checkpoint: str, fmt: str = "parquet") -> StreamingQuery:
-    """Start a query that appends everything available now and then stops; await it to be sure."""
+    """Start a query that appends everything available now and then stops; await it to be sure.
+
+    A table and its checkpoint belong together: the file sink skips batch numbers it has seen, so a
+    table written under a second checkpoint would silently lose batches.
+    """
     return (
         stream.writeStream.format(fmt)
         .outputMode("append")
@@ -73,7 +78,10 @@ def drain(stream: DataFrame, path: str, checkpoint: str, fmt: str = "parquet") -
 
 
 class ResolvedSchema(NamedTuple):
+    """``schema`` is the table's; ``file_schema`` is what the files at hand carry, in their order."""
+
     schema: StructType
+    file_schema: StructType
     added: tuple[str, ...]
     missing: tuple[str, ...]
 
@@ -102,17 +110,21 @@ def resolve_schema(
         options["inferSchema"] = "false"
     found = spark.read.options(**options).csv(path).schema
     if saved is None:
-        resolved = ResolvedSchema(found, (), ())
+        resolved = ResolvedSchema(found, found, (), ())
     else:
         added = [f for f in found.fields if f.name not in saved.names]
         missing = tuple(n for n in saved.names if n not in found.names)
-        resolved = ResolvedSchema(StructType([*saved.fields, *added]), tuple(f.name for f in added), missing)
+        schema = StructType([*saved.fields, *added])
+        in_file_order = StructType([schema[name] for name in found.names])
+        resolved = ResolvedSchema(schema, in_file_order, tuple(f.name for f in added), missing)
     if saved != resolved.schema:
         text = spark.createDataFrame([(resolved.schema.json(),)], "value string")
         text.coalesce(1).write.mode("overwrite").text(schema_file)
     return resolved
 
 
-def present_columns(resolved: ResolvedSchema) -> StructType:
-    """The part of a resolved schema that the files at hand really carry, for reading them by position."""
-    return StructType([f for f in resolved.schema.fields if f.name not in resolved.missing])
+def conform(df: DataFrame, schema: StructType) -> DataFrame:
+    """The columns of ``schema`` by name; those the frame lacks are NULL."""
+    return df.select(
+        *[F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    )
