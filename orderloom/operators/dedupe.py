@@ -13,13 +13,13 @@ def distinct_rows(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
-def _survivor(df: DataFrame, keys: Sequence[str], pick, order: Sequence[Column]) -> DataFrame:
-    rest = [c for c in df.columns if c not in keys]
-    if not rest:
+def _survivor(df: DataFrame, keys: Sequence[str], pick, order: Sequence[tuple[str, Column]]) -> DataFrame:
+    """The row per key whose ``order`` columns are extreme; each ``order`` name is an output column or ``_``-prefixed."""
+    if not order:
         return df.select(*keys).distinct()
-    packed = F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)], F.struct(*rest).alias("row"))
+    packed = F.struct(*[column.alias(name) for name, column in order])
     kept = df.groupBy(*keys).agg(pick(packed).alias("_kept"))
-    return kept.select(*[F.col(c) if c in keys else F.col(f"_kept.row.{c}").alias(c) for c in df.columns])
+    return kept.select(*[F.col(c) if c in keys else F.col(f"_kept.{c}").alias(c) for c in df.columns])
 
 
 def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -29,11 +29,11 @@ def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     one per key before the shuffle, and the survivor is the same however the rows are partitioned.
     """
     rest = [c for c in df.columns if c not in keys]
-    order = [o for c in rest for o in (F.col(c).isNull(), F.col(c))]
+    order = [pair for c in rest for pair in ((f"_null_{c}", F.col(c).isNull()), (c, F.col(c)))]
     return _survivor(df, keys, F.min, order)
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], newest_by: Sequence[str]) -> DataFrame:
     """One row per key: the one with the greatest ``newest_by`` values, then the greatest remaining columns."""
     rest = [c for c in df.columns if c not in keys and c not in newest_by]
-    return _survivor(df, keys, F.max, [F.col(c) for c in (*newest_by, *rest)])
+    return _survivor(df, keys, F.max, [(c, F.col(c)) for c in (*newest_by, *rest)])

@@ -12,7 +12,7 @@ def null_policy(
 ) -> DataFrame:
     """Fill constants, then drop rows with a NULL in a required column.
 
-    ``require="all"`` demands every column.
+    ``require="all"`` demands every column. In floating-point columns NaN counts as missing too.
     """
     if fill:
         df = df.fillna(dict(fill))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
@@ -27,7 +27,8 @@ def ingest(spark: SparkSession, lake: Lake, entities: Iterable[str] = ENTITIES,
 
 
 def _bronze(spark: SparkSession, lake: Lake, entity: str) -> DataFrame:
-    return tables.read_path(spark, lake.bronze(entity), lake.fmt)
+    schema = raw_schema(entity) if lake.fmt == "parquet" else None
+    return tables.read_path(spark, lake.bronze(entity), lake.fmt, schema)
 
 
 def refine(spark: SparkSession, lake: Lake, entity: str, run_id: str, strict: bool = False) -> None:
@@ -60,19 +61,20 @@ def register(spark: SparkSession, lake: Lake, prefix: str = "") -> None:
             tables.register(spark, f"{prefix}{layer}.{name}", path(name), lake.fmt)
 
 
+def each(spark: SparkSession, names: Iterable[str], step: Callable[[str], None], concurrent: int = 4) -> None:
+    """Run ``step`` for every name, up to ``concurrent`` at a time; the first failure is raised."""
+    with ThreadPoolExecutor(concurrent) as pool:
+        started = [pool.submit(inheritable_thread_target(spark)(step), name) for name in names]
+    for run in started:
+        run.result()
+
+
 def run_batch(spark: SparkSession, lake: Lake, run_id: str, strict: bool = False, concurrent: int = 4) -> None:
     """One complete run. Repeating it with the same ``run_id`` leaves every table unchanged.
 
-    Tables of one layer do not depend on each other, so up to ``concurrent`` of them are submitted
-    together and small ones fill the cluster while a large one ends.
+    Tables of one layer do not depend on each other, so several are submitted together and the small
+    ones fill the cluster while a large one ends.
     """
     ingest(spark, lake)
-
-    def each(names: Iterable[str], step) -> None:
-        with ThreadPoolExecutor(concurrent) as pool:
-            done = [pool.submit(inheritable_thread_target(spark)(step), name) for name in names]
-            for future in done:
-                future.result()
-
-    each(ENTITIES, lambda entity: refine(spark, lake, entity, run_id, strict))
-    each(gold.TABLES, lambda table: publish_gold(spark, lake, table))
+    each(spark, ENTITIES, lambda entity: refine(spark, lake, entity, run_id, strict), concurrent)
+    each(spark, gold.TABLES, lambda table: publish_gold(spark, lake, table), concurrent)

@@ -33,7 +33,7 @@ class Contract:
     source_table: str
     rules: Sequence[Rule]
     keep: Column
-    probes: Sequence[Rule] = ()
+    probes: Callable[[], Sequence[Rule]] = list
     casts: Mapping[str, str] = field(default_factory=dict)
     try_casts: bool = False
     repair: Mapping[str, Callable[[Column], Column]] = field(default_factory=dict)
@@ -99,7 +99,7 @@ def customers() -> Contract:
             text.is_filled(F.col("customer_state")),
             *[text.is_named(F.col(c)) for c in ("customer_id", "customer_unique_id", "customer_city")],
         ),
-        probes=[
+        probes=lambda: [
             Rule("customer_zip_code_prefix negative", zip_code < 0),
             _missing("customer_state"),
             *[_numeric(c) for c in ("customer_id", "customer_unique_id", "customer_city")],
@@ -131,7 +131,7 @@ def geolocation() -> Contract:
             lat.between(-90, 90),
             lng.between(-180, 180),
         ),
-        probes=[
+        probes=lambda: [
             Rule("geolocation_zip_code_prefix zero or negative", zip_code <= 0),
             Rule("geolocation_lat out of bounds", (lat < -90) | (lat > 90)),
             Rule("geolocation_lng out of bounds", (lng < -180) | (lng > 180)),
@@ -160,7 +160,7 @@ def order_items() -> Contract:
             *[rule for column, label in ids.items() for rule in _null_or_empty(label, column)],
         ],
         keep=_all(item > 0, price >= 0, freight >= 0, *[text.is_filled(F.col(c)) for c in ids]),
-        probes=[
+        probes=lambda: [
             Rule("order_item_id zero or negative", item <= 0),
             Rule("price negative", price < 0),
             Rule("freight_value negative", freight < 0),
@@ -198,7 +198,7 @@ def order_payments() -> Contract:
             text.is_filled(kind),
             ~free_credit,
         ),
-        probes=[
+        probes=lambda: [
             Rule("payment_sequential below 1", sequential < 1),
             Rule("payment_installments negative", installments < 0),
             Rule("payment_value negative", value < 0),
@@ -231,7 +231,7 @@ def order_reviews() -> Contract:
         keep=_all(
             score.between(1, 5), text.is_filled(F.col("review_id")), text.is_filled(F.col("order_id"))
         ),
-        probes=[
+        probes=lambda: [
             Rule("review_score out of bounds", out_of_bounds),
             _missing("review_id"),
             _missing("order_id"),
@@ -273,7 +273,7 @@ def orders() -> Contract:
             ~ghost,
             ~unapproved,
         ),
-        probes=[
+        probes=lambda: [
             _missing("order_id"),
             _missing("customer_id"),
             Rule("delivered before purchase", delivered < purchased),
@@ -311,7 +311,7 @@ def products() -> Contract:
             *[size > 0 for size in sizes],
             *[value >= 0 for value in metadata],
         ),
-        probes=[
+        probes=lambda: [
             *[Rule(f"{name} zero or negative", F.col(name) <= 0) for name in PRODUCT_DIMENSIONS],
             _numeric("product_id"),
             Rule("metadata negative", negative_metadata),
@@ -344,7 +344,7 @@ def sellers() -> Contract:
             text.is_filled(seller) & ~not_hex,
             text.is_named(city),
         ),
-        probes=[
+        probes=lambda: [
             Rule("seller_zip_code_prefix negative", zip_code < 0),
             Rule("seller_state not a code", state.isNull() | text.is_blank(state) | not_code),
             Rule("seller_id not hex", seller.isNull() | text.is_blank(seller) | not_hex),
@@ -374,7 +374,7 @@ def category_translation() -> Contract:
             )
         ],
         keep=_all(*[text.is_named(F.col(c)) & (F.length(F.col(c)) >= 3) for c in names]),
-        probes=[Rule(f"{column} unusable", unusable(column)) for column in names],
+        probes=lambda: [Rule(f"{column} unusable", unusable(column)) for column in names],
     )
 
 

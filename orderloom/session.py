@@ -12,6 +12,8 @@ DEFAULTS = {
     # Keeps the skew split even where it costs a further exchange downstream.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Recording a call site for every column expression costs the driver more than planning does.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

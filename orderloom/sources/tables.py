@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
-def read_path(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return spark.read.format(fmt).load(path)
+def read_path(
+    spark: SparkSession, path: str, fmt: str = "parquet", schema: StructType | None = None
+) -> DataFrame:
+    """A table by path. A known ``schema`` saves the job that reads it from file footers."""
+    reader = spark.read.format(fmt)
+    return (reader.schema(schema) if schema is not None else reader).load(path)
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
@@ -56,4 +61,5 @@ def register(spark: SparkSession, name: str, path: str, fmt: str = "parquet") ->
 
 
 def list_tables(spark: SparkSession, schema: str) -> DataFrame:
-    return spark.sql(f"SHOW TABLES IN {schema}")
+    """Tables of a schema; the session's temporary views are left out."""
+    return spark.sql(f"SHOW TABLES IN {schema}").filter("NOT isTemporary")

@@ -58,9 +58,10 @@ def _missing(*columns: str) -> list[Rule]:
     return [Rule(f"{c} is NULL", F.col(c).isNull()) for c in columns]
 
 
-def _not_positive(*columns: str) -> list[Rule]:
-    """NULL fails the numeric checks of the keep predicate, so it is a reason as well."""
-    return [Rule(f"{c} is NULL or negative", ~F.coalesce(F.col(c) >= 0, F.lit(False))) for c in columns]
+def _negative(column: str, required: bool = False) -> Rule:
+    """NULL fails the numeric checks, so it is a reason as well; so is NaN where a value is required."""
+    value = F.nanvl(F.col(column), F.lit(None).cast("double")) if required else F.col(column)
+    return Rule(f"{column} is NULL or negative", ~F.coalesce(value >= 0, F.lit(False)))
 
 
 CONTRACTS: dict[str, EventContract] = {
@@ -82,7 +83,7 @@ CONTRACTS: dict[str, EventContract] = {
         require=("order_id", "price"),
         standardise=_same,
         keep=lambda: (F.col("price") >= 0) & (F.col("freight_value") >= 0),
-        rules=lambda: [*_missing("order_id"), *_not_positive("price", "freight_value")],
+        rules=lambda: [*_missing("order_id"), _negative("price", required=True), _negative("freight_value")],
     ),
     "payments": EventContract(
         schema=EVENT_SCHEMAS["payments"],
@@ -92,7 +93,11 @@ CONTRACTS: dict[str, EventContract] = {
         require=("order_id", "payment_value"),
         standardise=_unify_payment_type,
         keep=lambda: (F.col("payment_value") >= 0) & (F.col("payment_installments") >= 0),
-        rules=lambda: [*_missing("order_id"), *_not_positive("payment_value", "payment_installments")],
+        rules=lambda: [
+            *_missing("order_id"),
+            _negative("payment_value", required=True),
+            _negative("payment_installments"),
+        ],
     ),
 }
 

@@ -80,7 +80,7 @@ for _table in CONTRACTS:
         _refined(spark, sf, t), CONTRACTS[t]().rules
     )
     QUERIES[f"profile_probes_{_table}"] = lambda spark, sf, t=_table: profile.violations(
-        _standardised(spark, sf, t), CONTRACTS[t]().probes
+        _standardised(spark, sf, t), CONTRACTS[t]().probes()
     )
 
 for _table in gold.TABLES:
