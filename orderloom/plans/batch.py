@@ -15,11 +15,14 @@ from orderloom.sources import files, tables
 
 
 def ingest(spark: SparkSession, lake: Lake, entities: Iterable[str] = ENTITIES, **options: str) -> None:
-    """Append the CSV files that have arrived since the last run to bronze, all entities at once."""
+    """Append the CSV files that have arrived since the last run to bronze, all entities at once.
+
+    Records with too few or too many fields are kept as text in the rescued-data column.
+    """
     queries = []
     for entity in entities:
         stream = files.csv_stream(
-            spark, lake.raw(entity), raw_schema(entity), multiline=entity in MULTILINE_ENTITIES, **options
+            spark, lake.raw(entity), raw_schema(entity), entity in MULTILINE_ENTITIES, rescue=True, **options
         )
         queries.append(files.drain(stream, lake.bronze(entity), lake.checkpoint("bronze", entity), lake.fmt))
     for query in queries:
@@ -27,7 +30,7 @@ def ingest(spark: SparkSession, lake: Lake, entities: Iterable[str] = ENTITIES,
 
 
 def _bronze(spark: SparkSession, lake: Lake, entity: str) -> DataFrame:
-    schema = raw_schema(entity) if lake.fmt == "parquet" else None
+    schema = files.with_rescue(raw_schema(entity)) if lake.fmt == "parquet" else None
     return tables.read_path(spark, lake.bronze(entity), lake.fmt, schema)
 
 

@@ -21,13 +21,13 @@ def _csv_options(multiline: bool, rescue: bool) -> dict[str, str]:
     if multiline:
         options |= {"multiLine": "true", "quote": '"', "escape": '"'}
     if rescue:
-        # A header check cannot pass once the schema holds one more column than the file.
-        options |= {"columnNameOfCorruptRecord": RESCUED, "enforceSchema": "true"}
+        options["columnNameOfCorruptRecord"] = RESCUED
     return options
 
 
-def _with_rescue(schema: StructType, rescue: bool) -> StructType:
-    return StructType([*schema.fields, StructField(RESCUED, StringType())]) if rescue else schema
+def with_rescue(schema: StructType) -> StructType:
+    """A schema plus the text column that keeps records which do not fit it."""
+    return StructType([*schema.fields, StructField(RESCUED, StringType())])
 
 
 def csv_stream(
@@ -44,7 +44,8 @@ def csv_stream(
     land it as many files. ``rescue`` keeps every record that does not fit the schema as text in
     ``_rescued_data``. Extra options, such as ``maxFilesPerTrigger``, go to the reader.
     """
-    reader = spark.readStream.schema(_with_rescue(schema, rescue)).options(**_csv_options(multiline, rescue))
+    chosen = with_rescue(schema) if rescue else schema
+    reader = spark.readStream.schema(chosen).options(**_csv_options(multiline, rescue))
     return reader.options(**options).csv(path)
 
 
@@ -59,7 +60,8 @@ def csv_table(
     if schema is None:
         options = _csv_options(multiline, False) | {"enforceSchema": "true", "inferSchema": "true"}
         return spark.read.options(**options).csv(path)
-    return spark.read.schema(_with_rescue(schema, rescue)).options(**_csv_options(multiline, rescue)).csv(path)
+    chosen = with_rescue(schema) if rescue else schema
+    return spark.read.schema(chosen).options(**_csv_options(multiline, rescue)).csv(path)
 
 
 def drain(stream: DataFrame, path: str, checkpoint: str, fmt: str = "parquet") -> StreamingQuery:
@@ -95,16 +97,26 @@ def _saved_schema(spark: SparkSession, schema_file: str) -> StructType | None:
 
 
 def resolve_schema(
-    spark: SparkSession, path: str, schema_file: str, infer_types: bool = True, multiline: bool = False
+    spark: SparkSession,
+    path: str,
+    schema_file: str,
+    infer_types: bool = True,
+    multiline: bool = False,
+    sampling_ratio: float = 1.0,
 ) -> ResolvedSchema:
     """The schema to read ``path`` with, remembered in ``schema_file`` across runs.
 
     The first run infers it. Later runs compare the files' header with the stored schema, append new
     columns and report both directions; a known column keeps its stored type, and one that has gone
     missing stays in the table as NULL. ``infer_types=False`` reads only a header and keeps every
-    column text, which is the cheap choice for large folders because cleaning enforces types anyway.
+    column text, which is the cheap choice for large folders because cleaning enforces types anyway;
+    ``sampling_ratio`` bounds the rows parsed where types are inferred.
     """
-    options = _csv_options(multiline, False) | {"enforceSchema": "true", "inferSchema": str(infer_types).lower()}
+    options = _csv_options(multiline, False) | {
+        "enforceSchema": "true",
+        "inferSchema": str(infer_types).lower(),
+        "samplingRatio": str(sampling_ratio),
+    }
     saved = _saved_schema(spark, schema_file)
     if saved is not None:
         options["inferSchema"] = "false"

@@ -38,11 +38,12 @@ def unify(batch: DataFrame, events: DataFrame, table: str) -> DataFrame:
 
     The batch row wins because it carries every column; events only bridge the time until the next
     batch run. Events are first reduced to one row per key, or to distinct rows where the payload
-    lacks a key column. Only keys of the batch table are read for the comparison.
+    lacks a key column. Of the batch table only distinct keys are compared: the side that an anti join
+    looks up cannot be split, so a key repeated in it must be reduced first.
     """
     keys = [k for k in KEYS[table] if k in events.columns]
     rows = events
     if len(keys) == len(KEYS[table]):
         rows = latest_per_key(events, keys, [c for c in ("batch_id",) if c in events.columns])
-    fresh = as_batch_rows(rows, table, batch).distinct().join(batch.select(*keys), keys, "left_anti")
+    fresh = as_batch_rows(rows, table, batch).distinct().join(batch.select(*keys).distinct(), keys, "left_anti")
     return batch.unionByName(fresh)

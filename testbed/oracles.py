@@ -626,8 +626,10 @@ oracle(
 
 # --- sources and sinks --------------------------------------------------------------------------------------------
 
-oracle("src1_csv_stream", "select * from fx_customers")
-oracle("src2_multiline_csv", "select * from fx_order_reviews")
+oracle("profile_distinct_orders_raw_status", "select distinct order_status from t_orders")
+oracle("profile_distinct_payments_accepted_type", "select distinct payment_type from r_order_payments")
+oracle("src1_csv_stream", "select *, cast(null as varchar) as _rescued_data from fx_customers")
+oracle("src2_multiline_csv", "select *, cast(null as varchar) as _rescued_data from fx_order_reviews")
 oracle(
     "src3_schema_drift",
     "select seller_id, seller_zip_code_prefix, seller_city, seller_state, cast(null as varchar) as seller_group"
@@ -646,7 +648,7 @@ oracle("src7_table_by_name", "select * from fx_sellers")
 oracle("src8_sql_over_path", "select * from fx_stream_orders")
 oracle("src9_topic_bodies", "select * from fx_stream_orders")
 oracle("src10_table_stream", "select * from fx_stream_items")
-oracle("snk1_drain_append", "select * from fx_geolocation")
+oracle("snk1_drain_append", "select *, cast(null as varchar) as _rescued_data from fx_geolocation")
 oracle("snk2_interval_append", "select * from fx_stream_payments")
 oracle("snk3_foreach_batch", "select * from e_items")
 oracle(
@@ -1047,6 +1049,16 @@ oracle(
     " case when freight_value is null or freight_value < 0 then 'freight_value is NULL or negative' end)"
     " as error_reason from d_items) where error_reason <> ''",
 )
+oracle(
+    "x1_stream_quarantine_payments",
+    "select * from (select order_id, case when trim(lower(payment_type)) in ('credit card', 'creditcard', 'cc')"
+    " then 'credit_card' else trim(lower(payment_type)) end as payment_type, payment_installments, payment_value,"
+    " concat_ws(' | ', case when order_id is null then 'order_id is NULL' end,"
+    " case when payment_value is null or payment_value < 0 then 'payment_value is NULL or negative' end,"
+    " case when payment_installments is null or payment_installments < 0"
+    " then 'payment_installments is NULL or negative' end) as error_reason"
+    " from (select distinct * from p_payments)) where error_reason <> ''",
+)
 oracle(
     "x2_newest_versions",
     "select order_id, customer_id, case when order_approved_at is null then 'CLOSED' else order_status end"
@@ -1067,6 +1079,29 @@ oracle(
     " min(geolocation_city) as geolocation_city, min(geolocation_state) as geolocation_state"
     " from v_geolocation group by geolocation_zip_code_prefix",
 )
+cte("w_payments", """select distinct order_id, payment_sequential, lower(upper(trim(payment_type))) as payment_type,
+ payment_installments, payment_value from t_order_payments where order_id is not null and payment_value >= 0
+ and payment_installments >= 0""")
+cte("w_shared_payments", """select * from v_order_payments union all
+ select order_id, payment_sequential, upper(trim(case when payment_type in ('credit card', 'creditcard', 'cc')
+ then 'credit_card' else payment_type end)), payment_installments, payment_value from w_payments w
+ where not exists (select 1 from v_order_payments v where v.order_id = w.order_id
+ and v.payment_sequential = w.payment_sequential)""")
+cte("w_orders", """select * exclude (n) from (select *, row_number() over (partition by order_id order by
+ customer_id nulls last, order_status nulls last, order_purchase_timestamp nulls last, order_approved_at nulls last,
+ order_delivered_carrier_date nulls last, order_delivered_customer_date nulls last,
+ order_estimated_delivery_date nulls last) as n from t_orders) where n = 1 and order_id is not null
+ and customer_id is not null and order_purchase_timestamp is not null""")
+cte("w_shared_orders", """select order_id, order_purchase_timestamp from v_orders union all
+ select order_id, order_purchase_timestamp from w_orders w
+ where not exists (select 1 from v_orders v where v.order_id = w.order_id)""")
+oracle("x3_shared_payments", "select * from w_shared_payments")
+oracle(
+    "x3_shared_fact_payments",
+    "select p.order_id, p.payment_sequential, cast(strftime(o.order_purchase_timestamp, '%Y%m%d') as integer) as date_key,"
+    " p.payment_type, p.payment_installments, p.payment_value from w_shared_payments p join w_shared_orders o"
+    " on p.order_id = o.order_id",
+)
 _dims = ("product_weight_g", "product_length_cm", "product_height_cm", "product_width_cm")
 oracle(
     "x5_impute_dimensions",

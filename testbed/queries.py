@@ -16,7 +16,7 @@ from orderloom.lake import Lake, scratch_root
 from orderloom.operators import casting, dedupe, impute, nulls, profile, rules
 from orderloom.plans import batch, gold, kpi, silver
 from orderloom.plans.contracts import CONTRACTS, PRODUCT_DIMENSIONS, SELLER_STATES
-from orderloom.schemas import EVENT_SCHEMAS, raw_schema
+from orderloom.schemas import EVENT_SCHEMAS, WIDE_EVENT_SCHEMAS
 from orderloom.sources import events, files, tables
 from orderloom.streaming import cleaners, state, unify
 from orderloom.streaming import silver as stream_silver
@@ -106,6 +106,13 @@ for _table, _column in DISTINCT_COLUMNS:
         _standardised(spark, sf, t), c
     )
 
+QUERIES["profile_distinct_orders_raw_status"] = lambda spark, sf: profile.distinct_values(
+    _typed(spark, sf, "orders"), "order_status"
+)
+QUERIES["profile_distinct_payments_accepted_type"] = lambda spark, sf: profile.distinct_values(
+    _refined(spark, sf, "order_payments"), "payment_type"
+)
+
 
 # --- sources --------------------------------------------------------------------------------------
 
@@ -974,6 +981,11 @@ def x1_stream_quarantine_items(spark, sf_dir):
     return _stream_silver(spark, sf_dir, "items", quarantine=True)
 
 
+@query
+def x1_stream_quarantine_payments(spark, sf_dir):
+    return _stream_silver(spark, sf_dir, "payments", quarantine=True)
+
+
 @query
 def x2_newest_versions(spark, sf_dir):
     """Two batches of the same orders, the later one with a new status for those without an approval."""
@@ -993,6 +1005,31 @@ def x3_shared_gold(spark, sf_dir):
     return unify.unify(_valid(spark, sf_dir, "orders"), streamed, "orders")
 
 
+def _wide_events(spark: SparkSession, sf_dir: str, entity: str, table: str) -> DataFrame:
+    """A batch table published as events and cleaned as a stream batch with the wide payload."""
+    return cleaners.clean_events(events.to_events(_typed(spark, sf_dir, entity)), table, WIDE_EVENT_SCHEMAS[table])
+
+
+def _shared(spark: SparkSession, sf_dir: str, entity: str, table: str) -> DataFrame:
+    return unify.unify(_valid(spark, sf_dir, entity), _wide_events(spark, sf_dir, entity, table), table)
+
+
+@query
+def x3_shared_payments(spark, sf_dir):
+    """Events with the wide payload fill in payments that the batch rejected or dropped."""
+    return _shared(spark, sf_dir, "order_payments", "payments")
+
+
+@query
+def x3_shared_fact_payments(spark, sf_dir):
+    """A gold fact over both pipelines."""
+    shared = {
+        "order_payments": _shared(spark, sf_dir, "order_payments", "payments"),
+        "orders": _shared(spark, sf_dir, "orders", "orders"),
+    }
+    return gold.build("fact_payments", shared)
+
+
 @query
 def x4_geolocation_by_zip(spark, sf_dir):
     return silver.geolocation_by_zip(_valid(spark, sf_dir, "geolocation"))
