@@ -29,14 +29,15 @@ def ingest(spark: SparkSession, lake: Lake, entities: Iterable[str] = ENTITIES,
         query.awaitTermination()
 
 
-def _bronze(spark: SparkSession, lake: Lake, entity: str) -> DataFrame:
+def bronze(spark: SparkSession, lake: Lake, entity: str) -> DataFrame:
+    """One raw table, read with its known schema."""
     schema = files.with_rescue(raw_schema(entity)) if lake.fmt == "parquet" else None
     return tables.read_path(spark, lake.bronze(entity), lake.fmt, schema)
 
 
 def refine(spark: SparkSession, lake: Lake, entity: str, run_id: str, strict: bool = False) -> None:
     """Rewrite one silver table and add this run's rejected rows to its quarantine."""
-    cleaned = silver.clean(_bronze(spark, lake, entity), entity, strict=strict)
+    cleaned = silver.clean(bronze(spark, lake, entity), entity, strict=strict)
     tables.write_run(cleaned.rejected, lake.quarantine(entity), run_id, lake.fmt)
     tables.overwrite(cleaned.valid, lake.silver(entity), lake.fmt)
 

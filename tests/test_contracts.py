@@ -226,7 +226,8 @@ def test_text_is_not_trimmed_unless_standardised(spark):
     [
         ("são  paulo", "Sao Paulo"),
         (" brasília", " Brasilia"),
-        ("BELÉM", "BelÉm".replace("É", "é")),
+        # Only lower-case accents are folded.
+        ("BELÉM", "Belém"),
         ("mogi\tdas   cruzes", "Mogi Das Cruzes"),
     ],
 )

@@ -59,6 +59,12 @@ def test_nan_is_missing_where_required_and_not_negative_elsewhere(spark):
     assert rows(rejected, "order_item_id", "error_reason") == [(1, "price is NULL or negative")]
 
 
+def test_json_types_are_not_coerced(spark):
+    df = _bodies(spark, {"order_id": "o", "order_item_id": 1.0, "price": "9.5", "freight_value": 2})
+    parsed = cleaners.parse(df, EVENT_SCHEMAS["items"])
+    assert rows(parsed) == [("o", None, None, 2.0)]
+
+
 def test_payments(spark):
     def pay(kind, installments=1, value=9.5):
         return {"order_id": "o1", "payment_type": kind, "payment_installments": installments, "payment_value": value}
