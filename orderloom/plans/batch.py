@@ -35,9 +35,20 @@ def bronze(spark: SparkSession, lake: Lake, entity: str) -> DataFrame:
     return tables.read_path(spark, lake.bronze(entity), lake.fmt, schema)
 
 
-def refine(spark: SparkSession, lake: Lake, entity: str, run_id: str, strict: bool = False) -> None:
-    """Rewrite one silver table and add this run's rejected rows to its quarantine."""
-    cleaned = silver.clean(bronze(spark, lake, entity), entity, strict=strict)
+def refine(
+    spark: SparkSession, lake: Lake, entity: str, run_id: str, strict: bool = False, tolerant: bool = False
+) -> None:
+    """Rewrite one silver table and add this run's rejected rows to its quarantine.
+
+    With ``tolerant`` rows whose text does not parse go to ``quarantine/<entity>_unparsed`` instead of
+    failing the run.
+    """
+    raw = bronze(spark, lake, entity)
+    if tolerant:
+        readable = silver.split_unparsable(raw, entity)
+        tables.write_run(readable.rejected, lake.quarantine(f"{entity}_unparsed"), run_id, lake.fmt)
+        raw = readable.valid
+    cleaned = silver.clean(raw, entity, strict=strict)
     tables.write_run(cleaned.rejected, lake.quarantine(entity), run_id, lake.fmt)
     tables.overwrite(cleaned.valid, lake.silver(entity), lake.fmt)
 
@@ -73,12 +84,19 @@ def each(spark: SparkSession, names: Iterable[str], step: Callable[[str], None],
         run.result()
 
 
-def run_batch(spark: SparkSession, lake: Lake, run_id: str, strict: bool = False, concurrent: int = 4) -> None:
+def run_batch(
+    spark: SparkSession,
+    lake: Lake,
+    run_id: str,
+    strict: bool = False,
+    tolerant: bool = False,
+    concurrent: int = 4,
+) -> None:
     """One complete run. Repeating it with the same ``run_id`` leaves every table unchanged.
 
     Tables of one layer do not depend on each other, so several are submitted together and the small
     ones fill the cluster while a large one ends.
     """
     ingest(spark, lake)
-    each(spark, ENTITIES, lambda entity: refine(spark, lake, entity, run_id, strict), concurrent)
+    each(spark, ENTITIES, lambda entity: refine(spark, lake, entity, run_id, strict, tolerant), concurrent)
     each(spark, gold.TABLES, lambda table: publish_gold(spark, lake, table), concurrent)

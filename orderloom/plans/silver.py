@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.operators import rules as dq
-from orderloom.operators.casting import cast_columns
+from orderloom.operators.casting import cast_columns, unparsable
 from orderloom.operators.dedupe import distinct_rows
 from orderloom.operators.nulls import null_policy
 from orderloom.plans.contracts import CONTRACTS, Contract
@@ -72,6 +72,19 @@ def clean(raw: DataFrame, table: str, as_of: Column | None = None, strict: bool
     return Cleaned(valid, rejected)
 
 
+def split_unparsable(raw: DataFrame, table: str, as_of: Column | None = None) -> Cleaned:
+    """Raw rows that the contract's strict casts accept, and the others as they arrived, with reasons.
+
+    Run before :func:`clean` where one unreadable value must not stop the whole run.
+    """
+    terms = contract(table)
+    checks = unparsable(terms.casts)
+    if not checks:
+        return Cleaned(raw, dq.quarantine(raw.filter(F.lit(False)).withColumn("error_reason", F.lit("")), table, as_of))
+    readable, unreadable = dq.split(raw, checks, ~dq.any_violated(checks))
+    return Cleaned(readable, dq.quarantine(unreadable, terms.source_table, as_of))
+
+
 def reconcile(raw: DataFrame, table: str) -> DataFrame:
     """Counts of kept, rejected, doubly routed and lost rows of a contract."""
     terms = contract(table)

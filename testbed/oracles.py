@@ -975,6 +975,21 @@ oracle(
     " try_cast(review_creation_date as timestamp) as review_creation_date,"
     " try_cast(review_answer_timestamp as timestamp) as review_answer_timestamp from fx_order_reviews",
 )
+oracle(
+    "dq1_unparsable",
+    f"select *, {AS_OF} as quarantine_timestamp, 'order_reviews' as source_table from (select *, "
+    + reason_text(
+        [
+            (f"{c} is not a valid {kind}", f"{c} is not null and try_cast({c} as {kind}) is null")
+            for c, kind in (
+                ("review_score", "double"),
+                ("review_creation_date", "timestamp"),
+                ("review_answer_timestamp", "timestamp"),
+            )
+        ]
+    )
+    + " as error_reason from fx_order_reviews) where error_reason <> ''",
+)
 oracle("dq2_error_reason", "select * exclude (kept) from j_order_payments")
 oracle(
     "dq3_split",

@@ -301,8 +301,8 @@ def snk8_register_table(spark, sf_dir):
     tables.overwrite(_valid(spark, sf_dir, "sellers"), path)
     tables.create_schema(spark, schema, "registered tables")
     tables.register(spark, f"{schema}.sellers", path)
-    listed = tables.list_tables(spark, schema).select(F.col("tableName").alias("table_name"))
-    return tables.read_table(spark, f"{schema}.sellers").join(listed, how="inner", on=F.col("table_name") == "sellers")
+    (listed,) = tables.list_tables(spark, schema).collect()
+    return tables.read_table(spark, f"{schema}.sellers").withColumn("table_name", F.lit(listed.tableName))
 
 
 @query
@@ -820,6 +820,12 @@ def dq1_try_cast_contract(spark, sf_dir):
     )
 
 
+@query
+def dq1_unparsable(spark, sf_dir):
+    """Rows whose text the casts would refuse, as they arrived."""
+    return silver.split_unparsable(raw(spark, sf_dir, "order_reviews"), "order_reviews", _as_of()).rejected
+
+
 @query
 def dq2_error_reason(spark, sf_dir):
     return rules.tag(_refined(spark, sf_dir, "order_payments"), silver.contract("order_payments").rules)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.errors import PySparkException
 
 from orderloom.plans import batch, gold, kpi
 from orderloom.schemas import ENTITIES, MULTILINE_ENTITIES
@@ -54,6 +55,20 @@ def test_report_on_stored_tables_equals_report_on_lazy_ones(spark, built, name):
     assert [tuple(r) for r in stored.collect()] == [tuple(r) for r in lazy.collect()] or rows(stored) == rows(lazy)
 
 
+def test_a_tolerant_run_sets_unreadable_rows_aside(spark, lake, tmp_path):
+    folder = tmp_path / "raw" / "sellers"
+    folder.mkdir(parents=True)
+    header = "seller_id,seller_zip_code_prefix,seller_city,seller_state\n"
+    (folder / "a.csv").write_text(header + f"{'a' * 32},1,recife,PE\n{'b' * 32},x1,natal,RN\n")
+    batch.ingest(spark, lake, ["sellers"])
+    with pytest.raises(PySparkException):
+        batch.refine(spark, lake, "sellers", "r1")
+    batch.refine(spark, lake, "sellers", "r1", tolerant=True)
+    assert rows(tables.read_path(spark, lake.silver("sellers")), "seller_city") == [("Recife",)]
+    aside = tables.read_path(spark, lake.quarantine("sellers_unparsed"))
+    assert rows(aside, "seller_zip_code_prefix", "error_reason") == [("x1", "seller_zip_code_prefix is not a valid int")]
+
+
 def test_tables_are_queryable_by_name(spark, built):
     batch.register(spark, built, "t_")
     assert tables.list_tables(spark, "t_gold").count() == len(gold.TABLES)

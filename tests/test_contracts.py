@@ -211,6 +211,18 @@ def test_strict_cast_fails_on_text(spark):
         silver.clean(raw, "customers").valid.collect()
 
 
+def test_unreadable_text_can_be_set_aside(spark):
+    raw = raw_rows(spark, "customers", CUSTOMER, {"customer_zip_code_prefix": "abc"}, {"customer_zip_code_prefix": None}, {})
+    readable, unreadable = silver.split_unparsable(raw, "customers")
+    assert rows(unreadable, "customer_zip_code_prefix", "error_reason") == [
+        ("abc", "customer_zip_code_prefix is not a valid int")
+    ]
+    assert readable.count() == 2
+    assert silver.clean(readable, "customers").valid.count() == 1
+    untyped = raw_rows(spark, "category_translation", CATEGORY, {})
+    assert [side.count() for side in silver.split_unparsable(untyped, "category_translation")] == [1, 0]
+
+
 def test_rescued_column_is_dropped(spark):
     raw = raw_rows(spark, "sellers", SELLER, {}).selectExpr("*", "'x' AS _rescued_data")
     assert silver.clean(raw, "sellers").valid.columns == list(SELLER)
