@@ -14,7 +14,7 @@ def distinct_rows(df: DataFrame) -> DataFrame:
 
 
 def _survivor(df: DataFrame, keys: Sequence[str], pick, order: Sequence[tuple[str, Column]]) -> DataFrame:
-    """The row per key whose ``order`` columns are extreme; each ``order`` name is an output column or ``_``-prefixed."""
+    """The row per key whose ``order`` columns are extreme; other columns are taken from among them."""
     if not order:
         return df.select(*keys).distinct()
     packed = F.struct(*[column.alias(name) for name, column in order])

@@ -103,10 +103,11 @@ def reprocess(quarantined: DataFrame, table: str, fix=None, as_of: Column | None
 def geolocation_by_zip(geolocation: DataFrame) -> DataFrame:
     """One representative row per zip prefix: mean coordinates, first city and state by name.
 
-    Coordinates are averaged as decimals so the result does not depend on partition order.
+    Coordinates are averaged as decimals, to ten places, so the result does not depend on partition order.
     """
+
     def mean(column: str) -> Column:
-        return F.avg(F.col(column).cast("decimal(18,10)")).cast("double").alias(column)
+        return F.round(F.avg(F.col(column).cast("decimal(18,10)")), 10).cast("double").alias(column)
 
     return geolocation.groupBy("geolocation_zip_code_prefix").agg(
         mean("geolocation_lat"),

@@ -114,9 +114,13 @@ def clean_events(bodies: DataFrame, table: str, schema: StructType | None = None
     return terms.standardise(kept).filter(terms.keep())
 
 
-def split_events(bodies: DataFrame, table: str, schema: StructType | None = None) -> tuple[DataFrame, DataFrame]:
-    """``(valid, rejected)``: the same valid rows, and every other deduplicated row with its reasons."""
+def tag_events(bodies: DataFrame, table: str, schema: StructType | None = None) -> DataFrame:
+    """Every deduplicated row of a batch with its ``error_reason``, empty for a trusted row."""
     terms = CONTRACTS[table]
     rows = terms.standardise(_deduplicated(bodies, table, schema))
-    tagged = rows.withColumn("error_reason", reasons(terms.rules()))
+    return rows.withColumn("error_reason", reasons(terms.rules()))
+
+
+def split_tagged(tagged: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(valid, rejected)``: the rows :func:`clean_events` keeps, and all others with their reasons."""
     return tagged.filter("error_reason = ''").drop("error_reason"), tagged.filter("error_reason <> ''")

@@ -12,7 +12,7 @@ from orderloom.lake import Lake
 from orderloom.schemas import EVENT_SCHEMAS
 from orderloom.sources.events import body_stream
 from orderloom.streaming.bronze import TRIGGER
-from orderloom.streaming.cleaners import clean_events, split_events
+from orderloom.streaming.cleaners import clean_events, split_tagged, tag_events
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet", writer: str = "orderloom") -> None:
@@ -43,9 +43,14 @@ def batch_sink(
         if quarantine is None:
             write_batch(clean_events(batch, table, schema), path, batch_id, fmt, f"{table}-silver")
             return
-        valid, rejected = split_events(batch, table, schema)
-        write_batch(valid, path, batch_id, fmt, f"{table}-silver")
-        write_batch(rejected, quarantine, batch_id, fmt, f"{table}-quarantine")
+        # Two sinks follow: parse and deduplicate the batch once.
+        tagged = tag_events(batch, table, schema).persist()
+        try:
+            valid, rejected = split_tagged(tagged)
+            write_batch(valid, path, batch_id, fmt, f"{table}-silver")
+            write_batch(rejected, quarantine, batch_id, fmt, f"{table}-quarantine")
+        finally:
+            tagged.unpersist()
 
     return process
 

@@ -37,7 +37,9 @@ def newest_versions(history: DataFrame, keys: Sequence[str], newest_by: Sequence
     return latest_per_key(history, keys, newest_by)
 
 
-def compact(spark: SparkSession, history_path: str, target_path: str, keys: Sequence[str], fmt: str = "parquet") -> None:
+def compact(
+    spark: SparkSession, history_path: str, target_path: str, keys: Sequence[str], fmt: str = "parquet"
+) -> None:
     """Write the newest row per key to a table of its own, replacing the last compaction."""
     history = spark.read.format(fmt).load(history_path)
     newest_versions(history, keys).write.format(fmt).mode("overwrite").save(target_path)

@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from orderloom.operators import dedupe, impute, profile, rules
-from orderloom.plans import gold, silver
+from orderloom.plans import gold, kpi, silver
 from tests.helpers import final_plan, plan, raw_rows, rows
 from tests.test_contracts import CUSTOMER, ITEM
 
@@ -90,6 +90,22 @@ def test_hot_order_is_split_in_the_fact_join(spark, tmp_path):
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
+def test_report_shuffles_each_side_once_without_broadcast(spark, tmp_path):
+    """The aggregate below the join leaves its rows where the join needs them."""
+    spark.range(1000).selectExpr("id % 50 AS customer_id", "CAST(id AS double) AS price").write.parquet(f"{tmp_path}/f")
+    spark.range(50).selectExpr("id AS customer_id", "id % 5 AS customer_state").write.parquet(f"{tmp_path}/d")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        tables = {"fact_orders": f"{tmp_path}/f", "dim_customers": f"{tmp_path}/d"}
+        text = plan(kpi.run("kpi_revenue_by_state", lambda t: spark.read.parquet(tables[t])))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert text.count("Exchange hashpartitioning(customer_id") == 2
+    assert text.count("Exchange hashpartitioning(customer_state") == 1
+    assert "ReadSchema: struct<customer_id:bigint,price:double>" in text
+
+
 @BRIEF
 @given(st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.one_of(st.none(), st.integers(-2, 9))), max_size=20))
 def test_group_mean(spark, data):

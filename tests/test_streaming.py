@@ -54,7 +54,7 @@ def test_nan_is_missing_where_required_and_not_negative_elsewhere(spark):
         '{"order_id":"o","order_item_id":2,"price":1,"freight_value":NaN}',
     )
     assert rows(cleaners.clean_events(df, "items"), "order_item_id") == [(2,)]
-    valid, rejected = cleaners.split_events(df, "items")
+    valid, rejected = cleaners.split_tagged(cleaners.tag_events(df, "items"))
     assert rows(valid, "order_item_id") == [(2,)]
     assert rows(rejected, "order_item_id", "error_reason") == [(1, "price is NULL or negative")]
 
@@ -81,7 +81,7 @@ def test_split_is_complete_and_agrees_with_the_cleaner(spark, table):
     from testbed.fixtures import bodies
 
     df = bodies(spark, "/root/testdata/sf0.001", table)
-    valid, rejected = cleaners.split_events(df, table)
+    valid, rejected = cleaners.split_tagged(cleaners.tag_events(df, table))
     assert rows(valid) == rows(cleaners.clean_events(df, table))
     terms = cleaners.CONTRACTS[table]
     assert valid.count() + rejected.count() == terms.dedupe(terms.prepare(cleaners.parse(df, terms.schema))).count()
