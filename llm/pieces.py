@@ -1,0 +1,50 @@
+"""Texts cut where no pre-token can cross, so that what was found for one piece serves every further use of it."""
+
+from __future__ import annotations
+
+import re
+from collections.abc import Callable
+
+#: A space that is followed by white space or by nothing: there the pattern's white-space rules look across the cut.
+_CROSSES = re.compile(r" (?:\s|$)")
+#: Pieces that a worker remembers; beyond that it forgets all and goes on. Longer pieces are not remembered.
+REMEMBERED = 400_000
+LONGEST = 64
+
+
+def pieces(text: str) -> list[str]:
+    """Cuts of text before single spaces; joined they give text.
+
+    A pre-token of the tokenizers' pattern holds a space at its start or is white space alone. So before a space that
+    a character other than white space follows, one pre-token ends and another begins, whatever stands before it.
+    """
+    if _CROSSES.search(text):
+        cuts = [0, *(m.start() for m in re.finditer(r" (?=\S)", text)), len(text)]
+        return [text[a:b] for a, b in zip(cuts, cuts[1:], strict=False) if a < b]
+    first, *rest = text.split(" ")
+    return [first, *[" " + x for x in rest]] if first else [" " + x for x in rest]
+
+
+class Remembered(dict):
+    """piece -> what `find` makes of it; `find` takes a list of distinct pieces and gives a list."""
+
+    def __init__(self, find: Callable[[list[str]], list]):
+        super().__init__()
+        self.find = find
+
+    def all(self, cut: list[str]) -> list:
+        """The value of each piece of `cut`."""
+        new = list({x for x in cut if x not in self})
+        if not new:
+            return [self[x] for x in cut]
+        found = dict(zip(new, self.find(new), strict=True))
+        if len(self) + len(found) > REMEMBERED:
+            self.clear()
+            out = [found[x] if x in found else None for x in cut]
+            missing = [x for x in dict.fromkeys(cut) if x not in found]
+            found |= dict(zip(missing, self.find(missing), strict=True))
+            out = [found[x] for x in cut]
+        else:
+            out = [self[x] if x in self else found[x] for x in cut]
+        self.update((k, v) for k, v in found.items() if len(k) <= LONGEST)
+        return out
