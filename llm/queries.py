@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from llm.bpe import op10_bpe
 from llm.records import op9_token_records
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_records": op9_token_records,
+    "op10_bpe": op10_bpe,
 }
 
 ORACLES: dict[str, str] = {}

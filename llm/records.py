@@ -4,7 +4,8 @@ A file is a run of records. A record is, all little-endian:
 
     length of the payload          8 bytes
     masked CRC-32 of those 8       4 bytes
-    payload                        flag (1 byte: 1, or 0 where doc_id is null), doc_id (8 bytes), ids (4 bytes each)
+    payload                        flag (1 byte: 1, or 0 where doc_id is null), width (1 byte: 2 or 4),
+                                   doc_id (8 bytes), ids (width bytes each: 2 where the vocabulary has up to 65,536)
     masked CRC-32 of the payload   4 bytes
     newline                        1 byte
 
@@ -23,19 +24,21 @@ from __future__ import annotations
 
 import struct
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from llm.common import new_path, per_batch, table, texts
-from llm.pieces import Remembered, pieces
+from llm.memo import Remembered
 
 END_ID = 0
 #: Text characters that a file holds at about; the number of files follows the input.
 FILE_CHARS = 24 << 20
-_HEAD, _DOC = struct.Struct("<QI"), struct.Struct("<Bq")
+_HEAD, _DOC = struct.Struct("<QI"), struct.Struct("<BBq")
 FRAME = _HEAD.size + _DOC.size + 5
 
 
@@ -44,15 +47,15 @@ def masked(data: bytes) -> int:
     return (((crc >> 15) | (crc << 17)) + 0xA282EAD8) & 0xFFFFFFFF
 
 
-def frame(doc_id: int | None, ids: bytes) -> bytes:
+def frame(doc_id: int | None, ids: bytes, width: int) -> bytes:
     """One record, without the newline that the writer adds."""
-    payload = _DOC.pack(doc_id is not None, doc_id or 0) + ids
+    payload = _DOC.pack(doc_id is not None, width, doc_id or 0) + ids
     length = struct.pack("<Q", len(payload))
     return b"".join((length, struct.pack("<I", masked(length)), payload, struct.pack("<I", masked(payload))))
 
 
 def frames(data: bytes):
-    """(offset, doc_id, ids) of each record; ids are bytes. ValueError where a length or a checksum is wrong."""
+    """(offset, length, doc_id, ids) of each record; ids are an array of 32-bit numbers. ValueError where a length or a checksum is wrong."""
     view, at = memoryview(data), 0
     while at < len(data):
         length, check = _HEAD.unpack_from(data, at)
@@ -62,43 +65,49 @@ def frames(data: bytes):
         payload = view[body : body + length]
         if len(payload) < length or struct.unpack_from("<I", data, body + length)[0] != masked(payload) or view[body + length + 4 : body + length + 5] != b"\n":
             raise ValueError(f"record at byte {at}: the payload is damaged")
-        there, doc_id = _DOC.unpack_from(payload)
-        yield at, doc_id if there else None, payload[_DOC.size :]
+        there, width, doc_id = _DOC.unpack_from(payload)
+        yield at, FRAME + len(payload) - _DOC.size, doc_id if there else None, np.frombuffer(payload[_DOC.size :], f"<u{width}").astype("<u4")
         at = body + length + 5
 
 
-def encoder(path: str):
-    """A function from a list of texts to each text's ids as little-endian 32-bit bytes, with the end id.
+#: Pre-tokens that a worker remembers: twice that at most.
+REMEMBERED = 300_000
 
-    Special tokens' strings in a text are ordinary text. The library encodes each distinct piece once a worker.
+
+def encoder(path: str, pattern: str):
+    """The width of an id in bytes, and a function from a text to its ids as little-endian bytes with the end id.
+
+    Special tokens' strings in a text are ordinary text. The pattern is the tokenizer's own; its matches are encoded
+    apart from each other, so each distinct match goes through the library once as long as the worker remembers it.
     """
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
+    split = regex.compile(pattern).findall
+    width, kind = (2, "H") if tokenizer.get_vocab_size() <= 1 << 16 else (4, "I")
 
-    def find(new: list[str]) -> list[bytes]:
-        found = tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
+    def encode(new: list[str]) -> list[bytes]:
+        return [array(kind, x.ids).tobytes() for x in tokenizer.encode_batch_fast(new, add_special_tokens=False)]
 
-    known, end = Remembered(find), struct.pack("<I", END_ID)
-    return lambda text: b"".join(known.all(pieces(text))) + end
+    known, end = Remembered(encode, REMEMBERED), END_ID.to_bytes(width, "little")
+    return width, lambda text: b"".join(known.all(split(text))) + end
 
 
 _ENCODERS: dict[str, object] = {}
 
 
-def write(docs: DataFrame, path: str, vocabulary: str) -> None:
+def write(docs: DataFrame, path: str, vocabulary: str, pattern: str) -> None:
     """Writes docs' records in ascending doc_id order to path/data and their index to path/index."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     chars = docs.agg(F.coalesce(F.sum(F.length("text") + 64), F.lit(0))).first()[0]
 
     def encode():
-        one = _ENCODERS.get(vocabulary) or _ENCODERS.setdefault(vocabulary, encoder(vocabulary))  # kept while the worker lives
+        width, one = _ENCODERS.get(vocabulary) or _ENCODERS.setdefault(vocabulary, encoder(vocabulary, pattern))  # kept while the worker lives
 
         def step(batch: pa.RecordBatch) -> dict:
-            return {"frame": [frame(d, one(t)) for d, t in zip(batch.column("doc_id").to_pylist(), texts(batch), strict=True)]}
+            return {"frame": [frame(d, one(t), width) for d, t in zip(batch.column("doc_id").to_pylist(), texts(batch), strict=True)]}
 
         return step
 
@@ -119,11 +128,10 @@ def scan(spark: SparkSession, path: str) -> DataFrame:
             out: dict[str, list] = {k: [] for k in ("file", "offset", "length", "doc_id", "n_tokens", "before", "ids_crc32")}
             for name, data in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist(), strict=True):
                 before = 0
-                for offset, doc_id, ids in frames(data):
-                    n = len(ids) // 4
-                    for k, v in zip(out, (name.rsplit("/", 1)[-1], offset, len(ids) + FRAME, doc_id, n, before, zlib.crc32(ids)), strict=True):
+                for offset, length, doc_id, ids in frames(data):
+                    for k, v in zip(out, (name.rsplit("/", 1)[-1], offset, length, doc_id, len(ids), before, zlib.crc32(ids)), strict=True):
                         out[k].append(v)
-                    before += n
+                    before += len(ids)
             return out
 
         return step
@@ -143,5 +151,5 @@ def op9_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path = new_path(spark, "records")
-    write(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    write(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
     return scan(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32", "file", "offset", "length")
