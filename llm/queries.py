@@ -6,12 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from llm import decontam
 from llm.bpe import op10_bpe
+from llm.decontam import op1_decontamination
+from llm.pii import op4_pii
 from llm.records import op9_token_records
+from llm.secret_scan import op7_secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
+    "op4_pii": op4_pii,
+    "op7_secrets": op7_secrets,
     "op9_token_records": op9_token_records,
     "op10_bpe": op10_bpe,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op1_decontamination": decontam.ORACLE}
