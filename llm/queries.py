@@ -12,9 +12,11 @@ from llm.decontam import op1_decontamination
 from llm.pii import op4_pii
 from llm.records import op9_token_records
 from llm.secret_scan import op7_secrets
+from llm.toxicity import op2_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
+    "op2_toxicity": op2_toxicity,
     "op4_pii": op4_pii,
     "op7_secrets": op7_secrets,
     "op9_token_records": op9_token_records,
