@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from llm import decontam
+from llm import decontam, embeddings
 from llm.bpe import op10_bpe
 from llm.decontam import op1_decontamination
+from llm.embeddings import op3_embeddings
+from llm.jaccard import op5_jaccard_join
 from llm.pii import op4_pii
 from llm.records import op9_token_records
 from llm.secret_scan import op7_secrets
@@ -17,10 +19,12 @@ from llm.toxicity import op2_toxicity
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_toxicity": op2_toxicity,
+    "op3_embeddings": op3_embeddings,
     "op4_pii": op4_pii,
+    "op5_jaccard_join": op5_jaccard_join,
     "op7_secrets": op7_secrets,
     "op9_token_records": op9_token_records,
     "op10_bpe": op10_bpe,
 }
 
-ORACLES: dict[str, str] = {"op1_decontamination": decontam.ORACLE}
+ORACLES: dict[str, str] = {"op1_decontamination": decontam.ORACLE, "op3_embeddings": embeddings.ORACLE}
