@@ -15,6 +15,7 @@ from llm.pii import op4_pii
 from llm.records import op9_token_records
 from llm.secret_scan import op7_secrets
 from llm.toxicity import op2_toxicity
+from llm.wrappers import op8_article_text
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
@@ -23,6 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_pii": op4_pii,
     "op5_jaccard_join": op5_jaccard_join,
     "op7_secrets": op7_secrets,
+    "op8_article_text": op8_article_text,
     "op9_token_records": op9_token_records,
     "op10_bpe": op10_bpe,
 }
