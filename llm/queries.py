@@ -11,6 +11,7 @@ from llm.bpe import op10_bpe
 from llm.decontam import op1_decontamination
 from llm.embeddings import op3_embeddings
 from llm.jaccard import op5_jaccard_join
+from llm.passages import op6_passages
 from llm.pii import op4_pii
 from llm.records import op9_token_records
 from llm.secret_scan import op7_secrets
@@ -23,6 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_embeddings": op3_embeddings,
     "op4_pii": op4_pii,
     "op5_jaccard_join": op5_jaccard_join,
+    "op6_passages": op6_passages,
     "op7_secrets": op7_secrets,
     "op8_article_text": op8_article_text,
     "op9_token_records": op9_token_records,
