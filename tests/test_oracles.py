@@ -8,9 +8,10 @@ import pytest
 
 import __spark_entry__ as entry
 from testbed import compare
+from testbed.oracles import ORACLES
+from testbed.queries import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -20,6 +21,7 @@ def connection():
 
 def test_every_query_has_a_counterpart():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
 def test_entry(spark):
