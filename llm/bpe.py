@@ -26,12 +26,12 @@ from itertools import chain
 from pathlib import Path
 
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from llm.common import per_batch, table, texts
 from llm.memo import Remembered
+from llm.pretokens import splitter
 
 #: Byte strings up to this length are leaves of the tree.
 LEAF = 6
@@ -50,7 +50,7 @@ class Bpe:
         self.ranks = ranks
         self.bytes_of = {i: b for b, i in ranks.items()}
         self.digits_of = {i: str(i) for i in self.bytes_of}
-        self.pattern = regex.compile(pattern)
+        self.split = splitter(pattern)
         self._fits: dict[tuple[int, int], bool] = {}
         self._leaves: dict[bytes, list[int]] = {}
         self._matches = Remembered(lambda new: [array("i", self.encode_bytes(x.encode())) for x in new], MATCHES)
@@ -138,7 +138,7 @@ class Bpe:
         return self.join(self.encode_bytes(data[:half]), self.encode_bytes(data[half:]))
 
     def encode(self, text: str) -> list[int]:
-        return list(chain.from_iterable(self._matches.all(self.pattern.findall(text))))
+        return list(chain.from_iterable(self._matches.all(self.split(text))))
 
     def decode(self, ids: list[int]) -> bytes:
         """Concatenates up the same kind of tree."""

@@ -28,12 +28,12 @@ from array import array
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm.common import new_path, per_batch, table, texts
+from llm.common import new_path, per_batch, table, texts, written
 from llm.memo import Remembered
+from llm.pretokens import splitter
 
 END_ID = 0
 #: Text characters that a file holds at about; the number of files follows the input.
@@ -71,7 +71,7 @@ def frames(data: bytes):
 
 
 #: Pre-tokens that a worker remembers: twice that at most.
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 
 
 def encoder(path: str, pattern: str):
@@ -84,7 +84,7 @@ def encoder(path: str, pattern: str):
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
-    split = regex.compile(pattern).findall
+    split = splitter(pattern)
     width, kind = (2, "H") if tokenizer.get_vocab_size() <= 1 << 16 else (4, "I")
 
     def encode(new: list[str]) -> list[bytes]:
@@ -113,14 +113,16 @@ def write(docs: DataFrame, path: str, vocabulary: str, pattern: str) -> None:
 
     ordered = docs.repartitionByRange(max(1, -(-chars // FILE_CHARS)), "doc_id").sortWithinPartitions("doc_id", "text")
     per_batch(ordered, encode, "frame binary").select(F.col("frame").cast("string").alias("value")).write.text(f"{path}/data")
-    scan(spark, path).select("file", "offset", "length", "doc_id", "n_tokens", "start").write.parquet(f"{path}/index")
+    rows = written(scan(spark, path).drop("ids_crc32"), "record-places")
+    # a running sum over files: one row of counts a file, rows of documents never meet in one task
+    totals = rows.groupBy("file").agg(F.sum("n_tokens").alias("all"))
+    bases = totals.selectExpr("file", "sum(`all`) over (order by file) - `all` as base")
+    index = rows.join(bases, "file").select("file", "offset", "length", "doc_id", "n_tokens", (F.col("base") + F.col("before")).alias("start"))
+    index.write.parquet(f"{path}/index")
 
 
 def scan(spark: SparkSession, path: str) -> DataFrame:
-    """All records of path/data, checked: file, offset, length, doc_id, start, n_tokens, ids_crc32.
-
-    One row of counts a file goes through a running sum over files; rows of documents never meet in one task.
-    """
+    """All records of path/data, checked: file, offset, length, doc_id, n_tokens, before (ids before it in its file), ids_crc32."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{path}/data").select("path", "content")
 
     def read():
@@ -136,20 +138,22 @@ def scan(spark: SparkSession, path: str) -> DataFrame:
 
         return step
 
-    rows = per_batch(files, read, "file string, offset long, length long, doc_id long, n_tokens long, before long, ids_crc32 long")
-    totals = rows.groupBy("file").agg(F.sum("n_tokens").alias("all"))
-    bases = totals.selectExpr("file as of_file", "sum(`all`) over (order by file) - `all` as base")
-    return rows.join(bases, F.col("file") == F.col("of_file")).withColumn("start", F.col("base") + F.col("before"))
+    return per_batch(files, read, "file string, offset long, length long, doc_id long, n_tokens long, before long, ids_crc32 long")
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/index")
 
 
+def placed(spark: SparkSession, path: str) -> DataFrame:
+    """All records as read back from the files, with their start from the index."""
+    return scan(spark, path).join(read_index(spark, path).select("file", "offset", "start"), ["file", "offset"])
+
+
 def op9_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's record as read back from the files and placed by the index."""
     import public_tokenizers
 
     path = new_path(spark, "records")
     write(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
-    return scan(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32", "file", "offset", "length")
+    return placed(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32", "file", "offset", "length")

@@ -7,12 +7,13 @@ import zlib
 import numpy as np
 import public_tokenizers as P
 import pytest
+import regex
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from llm import bpe, records
+from llm import bpe, pretokens, records
 from llm.memo import Remembered
 from tests.llm.conftest import SF_DIR, real
 
@@ -77,7 +78,7 @@ def test_records_edges(spark, tmp_path):
     docs = spark.createDataFrame([(5, "b"), (3, None), (3, ""), (None, "z"), (9, "<|endoftext|>"), (5, "b")], "doc_id long, text string")
     path = f"file://{tmp_path}/r"
     records.write(docs.withColumn("file", docs.text), path, P.path("byte_bpe_50k.json"), P.PATTERN)
-    rows = sorted(records.scan(spark, path).collect(), key=lambda r: r.start)
+    rows = sorted(records.placed(spark, path).collect(), key=lambda r: r.start)
     assert [r.doc_id for r in rows] == [None, 3, 3, 5, 5, 9] and rows[1].n_tokens == 1 and rows[5].n_tokens > 2
     index = {(r.file, r.offset, r.length, r.doc_id, r.start) for r in records.read_index(spark, path).collect()}
     assert index == {(r.file, r.offset, r.length, r.doc_id, r.start) for r in rows}
@@ -108,3 +109,15 @@ def test_memory_is_bounded_and_right():
         keys = [str((k * j) % 37) for j in range(15)]
         assert seen.all(keys) == [x * 2 for x in keys]
         assert len(seen) + len(seen.older) <= 10 + 15 + 25
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text(max_size=80) | st.text(alphabet="aé1'sdtrevlm  \n\t\x1c\x85\u2028!?😀²", max_size=60))
+def test_matches_equal_the_pattern(text):
+    assert pretokens.matches(text) == regex.findall(P.PATTERN, text)
+
+
+def test_every_character_has_its_kind():
+    for a in range(0, 0x110000, 0x1000):
+        text = "".join(chr(c) for c in range(a, a + 0x1000) if not 0xD800 <= c < 0xE000)
+        assert pretokens.matches(text) == regex.findall(P.PATTERN, text)
