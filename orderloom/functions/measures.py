@@ -1,9 +1,10 @@
 """Measures that can be partly aggregated before a join and finished after it.
 
 A measure is three steps: ``partial`` columns over detail rows, ``merge`` columns over partial rows,
-and a ``finish`` expression over merged columns. Sums of doubles are taken in decimal arithmetic so
-that the result does not depend on the order in which partitions arrive; amounts that decimal(18,6)
-cannot hold (NaN, infinities, |x| >= 1e12) are summed as doubles beside it and added at the end.
+and a ``finish`` expression over merged columns. Every amount is taken apart into what decimal(18,6)
+holds of it and the rest; both are summed, and the result is the sum of the two. Amounts of money have
+no rest, so their sums are exact and don't depend on the order in which partitions arrive; nothing of
+other amounts (further digits, large values, NaN, infinities) is dropped.
 """
 
 from __future__ import annotations
@@ -15,7 +16,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _EXACT = "decimal(18,6)"
-_EXACT_LIMIT = 1e12
 
 
 @dataclass(frozen=True)
@@ -27,11 +27,9 @@ class Measure:
 
 
 def _sum_parts(name: str, value: Column) -> list[Column]:
-    exact = F.abs(value) < _EXACT_LIMIT
-    return [
-        F.sum(F.when(exact, value.cast(_EXACT))).alias(f"{name}__exact"),
-        F.sum(F.when(~exact, value.cast("double"))).alias(f"{name}__wide"),
-    ]
+    exact = value.try_cast(_EXACT)
+    rest = value.cast("double") - F.coalesce(exact.cast("double"), F.lit(0.0))
+    return [F.sum(exact).alias(f"{name}__exact"), F.sum(rest).alias(f"{name}__rest")]
 
 
 def _merge_parts(*names: str) -> list[Column]:
@@ -43,13 +41,14 @@ def _rounded(value: Column, places: int | None) -> Column:
 
 
 def _finish(name: str, places: int | None, divisor: Column | None = None) -> Column:
-    exact, wide = F.col(f"{name}__exact"), F.col(f"{name}__wide")
-    mixed = F.coalesce(exact.cast("double"), F.lit(0.0)) + wide
+    exact, rest = F.col(f"{name}__exact"), F.col(f"{name}__rest")
+    exact = F.when(rest.isNotNull(), F.coalesce(exact, F.lit(0).cast("decimal(28,6)")))
+    mixed = exact.cast("double") + rest
     if divisor is not None:
         # These precisions leave the quotient 16 decimals; the merged sum's own type would leave 6.
         exact, mixed = exact.cast("decimal(28,6)") / divisor.cast("decimal(18,0)"), mixed / divisor
     # Rounding the decimal, not its double, keeps half-way cases half-up.
-    return F.when(wide.isNull(), _rounded(exact, places).cast("double")).otherwise(_rounded(mixed, places)).alias(name)
+    return F.when(rest == 0, _rounded(exact, places).cast("double")).otherwise(_rounded(mixed, places)).alias(name)
 
 
 def total(name: str, column: str, places: int | None = None) -> Measure:
@@ -57,7 +56,7 @@ def total(name: str, column: str, places: int | None = None) -> Measure:
     return Measure(
         name,
         lambda: _sum_parts(name, F.col(column)),
-        lambda: _merge_parts(f"{name}__exact", f"{name}__wide"),
+        lambda: _merge_parts(f"{name}__exact", f"{name}__rest"),
         lambda: _finish(name, places),
     )
 
@@ -67,7 +66,7 @@ def average(name: str, column: str, places: int | None = None) -> Measure:
     return Measure(
         name,
         lambda: [*_sum_parts(name, F.col(column)), F.count(column).alias(f"{name}__n")],
-        lambda: _merge_parts(f"{name}__exact", f"{name}__wide", f"{name}__n"),
+        lambda: _merge_parts(f"{name}__exact", f"{name}__rest", f"{name}__n"),
         lambda: _finish(name, places, F.nullif(F.col(f"{name}__n"), F.lit(0))),
     )
 

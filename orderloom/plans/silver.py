@@ -7,6 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orderloom.functions.measures import average
 from orderloom.operators import rules as dq
 from orderloom.operators.casting import cast_columns, unparsable
 from orderloom.operators.dedupe import distinct_rows
@@ -103,15 +104,9 @@ def reprocess(quarantined: DataFrame, table: str, fix=None, as_of: Column | None
 def geolocation_by_zip(geolocation: DataFrame) -> DataFrame:
     """One representative row per zip prefix: mean coordinates, first city and state by name.
 
-    Coordinates are averaged as decimals, to ten places, so the result does not depend on partition order.
+    No digit of a coordinate is dropped before the mean, which is rounded to ten places.
     """
-
-    def mean(column: str) -> Column:
-        return F.round(F.avg(F.col(column).cast("decimal(18,10)")), 10).cast("double").alias(column)
-
-    return geolocation.groupBy("geolocation_zip_code_prefix").agg(
-        mean("geolocation_lat"),
-        mean("geolocation_lng"),
-        F.min("geolocation_city").alias("geolocation_city"),
-        F.min("geolocation_state").alias("geolocation_state"),
-    )
+    key, means = "geolocation_zip_code_prefix", [average(c, c, 10) for c in ("geolocation_lat", "geolocation_lng")]
+    names = [F.min(c).alias(c) for c in ("geolocation_city", "geolocation_state")]
+    grouped = geolocation.groupBy(key).agg(*[p for m in means for p in m.partial()], *names)
+    return grouped.select(key, *[m.finish() for m in means], "geolocation_city", "geolocation_state")

@@ -11,6 +11,7 @@ import re
 from testbed.fixtures import ENTITY, EVENTS, SQL
 
 AS_OF = "TIMESTAMP '2024-01-05 12:00:00'"
+# Accepted states, letters and what they become without accents.
 STATES = (
     "('AC','AL','AP','AM','BA','CE','DF','ES','GO','MA','MT','MS','MG','PA','PB','PR','PE','PI',"
     "'RJ','RN','RS','RO','RR','SC','SP','SE','TO')"
@@ -498,15 +499,15 @@ for _table, _column in (
 
 
 def amount(column: str) -> str:
-    return f"cast(sum(cast({column} as decimal(18,6))) as double)"
+    return f"cast(sum(cast({column} as decimal(38,15))) as double)"
 
 
 def amount2(column: str) -> str:
-    return f"cast(round(sum(cast({column} as decimal(18,6))), 2) as double)"
+    return f"cast(round(sum(cast({column} as decimal(38,15))), 2) as double)"
 
 
 def mean2(column: str) -> str:
-    exact = f"sum(cast({column} as decimal(18,6))) / count({column})"
+    exact = f"cast(sum(cast({column} as decimal(38,15))) as decimal(38,12)) / count({column})"
     return f"cast(round(cast({exact} as decimal(28,10)), 2) as double)"
 
 
@@ -1144,3 +1145,12 @@ oracle(
     "run_batch_quarantine_counts",
     " union all ".join(f"select '{t}' as table_name, count(*) as rejected_rows from q_{t}" for t in ENTITY),
 )
+
+# --- amounts that are small or large beside money: each digit counts, so plain doubles are summed -----------------
+
+for _name, _factor, _places in (("measure_small_amounts", "* 1e-9", 9), ("measure_large_amounts", "* 1e10", -6)):
+    oracle(
+        _name,
+        f"select round(fsum(l_extendedprice {_factor}), {_places}) as total, round(fsum(l_extendedprice {_factor}) / count(l_extendedprice), {_places}) as mean"
+        " from lineitem",
+    )

@@ -1103,3 +1103,21 @@ def run_batch_quarantine_counts(spark, sf_dir):
         )
         counted = rows if counted is None else counted.unionAll(rows)
     return counted
+
+
+def _scaled(spark, sf_dir, factor, places):
+    rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select((F.col("l_extendedprice").cast("double") * factor).alias("x"))
+    found = measures.summarise(rows, (), [measures.total("total", "x"), measures.average("mean", "x")])
+    return found.select(*[F.round(c, places).alias(c) for c in ("total", "mean")])
+
+
+@query
+def measure_small_amounts(spark, sf_dir):
+    """Amounts that lie beyond the sixth decimal for the most."""
+    return _scaled(spark, sf_dir, 1e-9, 9)
+
+
+@query
+def measure_large_amounts(spark, sf_dir):
+    """Amounts that no decimal(18,6) holds."""
+    return _scaled(spark, sf_dir, 1e10, -6)
