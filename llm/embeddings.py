@@ -25,7 +25,7 @@ from llm.common import table, written
 from llm.components import components, joined
 
 THRESHOLD = 0.95
-#: Vectors a tile holds at about, and pivots; the pivots are the vectors of least hash.
+#: Vectors a tile holds at about, and pivots at most; the pivots are the vectors of least hash.
 TILE, PIVOTS = 8192, 256
 _BLOCK = 1024
 #: For what is lost in double precision itself.
@@ -119,7 +119,8 @@ def near_duplicates(vectors: DataFrame, least: float = THRESHOLD) -> DataFrame:
 
 def _tiles(reps: DataFrame, least: float) -> tuple[DataFrame, dict[int, list[int]]]:
     """The classes with their tile, and for each tile those of no lesser number that it is to be compared with."""
-    pivots = [r.embedding for r in reps.orderBy(F.xxhash64("embedding"), "rep").limit(PIVOTS).collect()]
+    wanted = min(PIVOTS, -(-reps.count() // TILE))  # more would only make the tiles smaller, and each be sent more often
+    pivots = [r.embedding for r in reps.orderBy(F.xxhash64("embedding"), "rep").limit(wanted).collect()]
     by_size = {n: _unit(np.array([p for p in pivots if len(p) == n], np.float64)) for n in {len(p) for p in pivots}}
     sent = reps.sparkSession.sparkContext.broadcast(by_size)
 
