@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from orderloom.lake import Lake
 from orderloom.plans import gold, kpi, silver
-from orderloom.schemas import ENTITIES, MULTILINE_ENTITIES, raw_schema
+from orderloom.schemas import ENTITIES, EVENT_SCHEMAS, MULTILINE_ENTITIES, raw_schema
 from orderloom.sources import files, tables
 
 
@@ -20,13 +21,17 @@ def ingest(spark: SparkSession, lake: Lake, entities: Iterable[str] = ENTITIES,
     Records with too few or too many fields are kept as text in the rescued-data column.
     """
     queries = []
-    for entity in entities:
-        stream = files.csv_stream(
-            spark, lake.raw(entity), raw_schema(entity), entity in MULTILINE_ENTITIES, rescue=True, **options
-        )
-        queries.append(files.drain(stream, lake.bronze(entity), lake.checkpoint("bronze", entity), lake.fmt))
-    for query in queries:
-        query.awaitTermination()
+    try:
+        for entity in entities:
+            stream = files.csv_stream(
+                spark, lake.raw(entity), raw_schema(entity), entity in MULTILINE_ENTITIES, rescue=True, **options
+            )
+            queries.append(files.drain(stream, lake.bronze(entity), lake.checkpoint("bronze", entity), lake.fmt))
+        for query in queries:
+            query.awaitTermination()
+    finally:  # one that fails stops the others
+        for query in queries:
+            query.stop()
 
 
 def bronze(spark: SparkSession, lake: Lake, entity: str) -> DataFrame:
@@ -62,18 +67,28 @@ def report(spark: SparkSession, lake: Lake, name: str) -> DataFrame:
     return kpi.run(name, lambda table: tables.read_path(spark, lake.gold(table), lake.fmt))
 
 
+#: Prefixes under which a lake's tables were registered, by its root; runs refresh them.
+_REGISTERED: dict[str, set[str]] = {}
+
+
 def register(spark: SparkSession, lake: Lake, prefix: str = "") -> None:
-    """Make every table of the lake queryable as ``<prefix><layer>.<table>``."""
+    """Make every table that the lake holds queryable as ``<prefix><layer>.<table>``, stream tables included.
+
+    Names that exist see the files as they are now. :func:`run_batch` calls this again for each prefix it knows.
+    """
+    _REGISTERED.setdefault(lake.root, set()).add(prefix)
     layers = {
         "bronze": (ENTITIES, lake.bronze),
         "silver": (ENTITIES, lake.silver),
-        "quarantine": (ENTITIES, lake.quarantine),
+        "quarantine": ([*ENTITIES, *(f"{e}_unparsed" for e in ENTITIES)], lake.quarantine),
         "gold": (tuple(gold.TABLES), lake.gold),
+        **{layer: (tuple(EVENT_SCHEMAS), partial(lake.path, layer)) for layer in ("stream_bronze", "stream_silver", "stream_quarantine")},
     }
     for layer, (names, path) in layers.items():
         tables.create_schema(spark, f"{prefix}{layer}")
         for name in names:
-            tables.register(spark, f"{prefix}{layer}.{name}", path(name), lake.fmt)
+            if tables.exists(spark, path(name)):
+                tables.register(spark, f"{prefix}{layer}.{name}", path(name), lake.fmt, layer == "quarantine")
 
 
 def each(spark: SparkSession, names: Iterable[str], step: Callable[[str], None], concurrent: int = 4) -> None:
@@ -100,3 +115,5 @@ def run_batch(
     ingest(spark, lake)
     each(spark, ENTITIES, lambda entity: refine(spark, lake, entity, run_id, strict, tolerant), concurrent)
     each(spark, gold.TABLES, lambda table: publish_gold(spark, lake, table), concurrent)
+    for prefix in _REGISTERED.get(lake.root, ()):
+        register(spark, lake, prefix)

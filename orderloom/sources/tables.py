@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from urllib.parse import quote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def read_path(
@@ -19,6 +21,26 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
+def _name(name: str) -> str:
+    return ".".join("`" + part.replace("`", "``") + "`" for part in name.split("."))
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _run_schema(spark: SparkSession, path: str, fmt: str) -> StructType:
+    """A history's columns, and ``run_id`` as the text that it was given as, whatever it looks like."""
+    found = spark.read.format(fmt).option("recursiveFileLookup", "true").load(path).schema
+    return StructType([*[f for f in found.fields if f.name != "run_id"], StructField("run_id", StringType())])
+
+
+def read_runs(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """A table that keeps history, see :func:`write_run`."""
+    reader = spark.read.format(fmt)
+    return (reader if fmt == "delta" else reader.schema(_run_schema(spark, path, fmt))).load(path)
+
+
 def query_path(spark: SparkSession, path: str, columns: str = "*", fmt: str = "parquet") -> DataFrame:
     """SQL straight over files."""
     return spark.sql(f"SELECT {columns} FROM {fmt}.`{path}`")
@@ -40,10 +62,10 @@ def write_run(df: DataFrame, path: str, run_id: str, fmt: str = "parquet") -> No
     """
     if fmt == "delta":
         stamped = df.withColumn("run_id", F.lit(run_id))
-        condition = f"run_id = '{run_id}'"
+        condition = f"run_id = {_text(run_id)}"
         stamped.write.format(fmt).mode("overwrite").option("replaceWhere", condition).partitionBy("run_id").save(path)
     else:
-        df.write.format(fmt).mode("overwrite").save(f"{path}/run_id={run_id}")
+        df.write.format(fmt).mode("overwrite").save(f"{path}/run_id={quote(run_id, safe=' ')}")
 
 
 def replace_table(df: DataFrame, name: str, path: str, fmt: str = "parquet") -> None:
@@ -52,14 +74,29 @@ def replace_table(df: DataFrame, name: str, path: str, fmt: str = "parquet") ->
 
 
 def create_schema(spark: SparkSession, name: str, comment: str = "") -> None:
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name} COMMENT '{comment}'")
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {_name(name)} COMMENT {_text(comment)}")
 
 
-def register(spark: SparkSession, name: str, path: str, fmt: str = "parquet") -> None:
-    """Make existing files queryable by name; does nothing if the name is taken."""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING {fmt} LOCATION '{path}'")
+def register(spark: SparkSession, name: str, path: str, fmt: str = "parquet", history: bool = False) -> None:
+    """Make existing files queryable by name; where the name exists, let it see the files as they are now.
+
+    ``history`` is for tables of :func:`write_run`: their partitions are looked up anew each time.
+    """
+    if history and fmt != "delta":
+        columns = ", ".join(f"{_name(f.name)} {f.dataType.simpleString()}" for f in _run_schema(spark, path, fmt).fields)
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {_name(name)} ({columns}) USING {fmt} PARTITIONED BY (run_id) LOCATION {_text(path)}")
+        spark.sql(f"ALTER TABLE {_name(name)} RECOVER PARTITIONS")
+    else:
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {_name(name)} USING {fmt} LOCATION {_text(path)}")
+    spark.catalog.refreshTable(name)
 
 
 def list_tables(spark: SparkSession, schema: str) -> DataFrame:
     """Tables of a schema; the session's temporary views are left out."""
-    return spark.sql(f"SHOW TABLES IN {schema}").filter("NOT isTemporary")
+    return spark.sql(f"SHOW TABLES IN {_name(schema)}").filter("NOT isTemporary")
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether anything lies at a path of any store that Spark reads."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)

@@ -20,9 +20,20 @@ TIMESTAMP_PATTERN = "yyyy-MM-dd HH:mm:ss"
 CREDIT_CARD_SPELLINGS = ("credit card", "creditcard", "cc")
 
 
-def parse(bodies: DataFrame, schema: StructType) -> DataFrame:
+BODY = "Body"
+
+
+def parse(bodies: DataFrame, schema: StructType, with_body: bool = False) -> DataFrame:
     """JSON text to columns. Unknown fields are ignored; text that is not JSON gives a row of NULLs."""
-    return bodies.select(F.from_json("Body", schema).alias("data")).select("data.*")
+    parsed = bodies.select(F.from_json(BODY, schema).alias("data"), BODY)
+    return parsed.select("data.*", BODY) if with_body else parsed.select("data.*")
+
+
+def _distinct(df: DataFrame) -> DataFrame:
+    """Distinct rows; of copies that differ in their text alone the smallest text is kept."""
+    if BODY not in df.columns:
+        return distinct_rows(df)
+    return df.groupBy(*[c for c in df.columns if c != BODY]).agg(F.min(BODY).alias(BODY))
 
 
 @dataclass(frozen=True)
@@ -88,7 +99,7 @@ CONTRACTS: dict[str, EventContract] = {
     "payments": EventContract(
         schema=EVENT_SCHEMAS["payments"],
         prepare=_same,
-        dedupe=distinct_rows,
+        dedupe=_distinct,
         key=("order_id", "payment_type", "payment_installments", "payment_value"),
         require=("order_id", "payment_value"),
         standardise=_unify_payment_type,
@@ -114,13 +125,23 @@ def clean_events(bodies: DataFrame, table: str, schema: StructType | None = None
     return terms.standardise(kept).filter(terms.keep())
 
 
+MALFORMED = "Body is not valid JSON"
+
+
 def tag_events(bodies: DataFrame, table: str, schema: StructType | None = None) -> DataFrame:
-    """Every deduplicated row of a batch with its ``error_reason``, empty for a trusted row."""
+    """Every row of a batch with its text and its ``error_reason``, empty for a trusted row.
+
+    Rows without an order id, those of malformed text among them, can't be compared by key: each is kept.
+    The others are deduplicated as in :func:`clean_events`.
+    """
     terms = CONTRACTS[table]
-    rows = terms.standardise(_deduplicated(bodies, table, schema))
-    return rows.withColumn("error_reason", reasons(terms.rules()))
+    parsed = terms.prepare(parse(bodies, schema or terms.schema, with_body=True))
+    keyed, lost = parsed.filter("order_id IS NOT NULL"), parsed.filter("order_id IS NULL")
+    rows = terms.standardise(terms.dedupe(keyed).unionByName(lost))
+    malformed = Rule(MALFORMED, F.col("order_id").isNull() & F.try_parse_json(BODY).isNull())
+    return rows.withColumn("error_reason", reasons([malformed, *terms.rules()]))
 
 
 def split_tagged(tagged: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``(valid, rejected)``: the rows :func:`clean_events` keeps, and all others with their reasons."""
-    return tagged.filter("error_reason = ''").drop("error_reason"), tagged.filter("error_reason <> ''")
+    """``(valid, rejected)``: the rows :func:`clean_events` keeps, and all others with their reasons and text."""
+    return tagged.filter("error_reason = ''").drop("error_reason", BODY), tagged.filter("error_reason <> ''")

@@ -19,13 +19,20 @@ def write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet", w
     """Append one micro-batch exactly once.
 
     ``foreachBatch`` repeats a batch after a failure. On parquet a batch owns the folder
-    ``batch_id=<n>`` and overwrites it; on Delta the table itself ignores a transaction it has seen.
+    ``writer=<writer>/batch_id=<n>`` and overwrites it; on Delta the table itself ignores a transaction it
+    has seen. ``writer`` tells streams apart that count their batches from 0, such as one that starts
+    over with a new checkpoint.
     """
     if fmt == "delta":
         options = {"txnAppId": writer, "txnVersion": str(batch_id)}
         df.write.format(fmt).mode("append").options(**options).save(path)
     else:
-        df.write.format(fmt).mode("overwrite").save(f"{path}/batch_id={batch_id}")
+        df.write.format(fmt).mode("overwrite").save(f"{path}/writer={writer}/batch_id={batch_id}")
+
+
+def running_query(batch: DataFrame) -> str:
+    """The id of the streaming query that hands out a micro-batch; it lives as long as the checkpoint does."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "orderloom"
 
 
 def batch_sink(
@@ -40,15 +47,16 @@ def batch_sink(
     def process(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
+        writer = running_query(batch)
         if quarantine is None:
-            write_batch(clean_events(batch, table, schema), path, batch_id, fmt, f"{table}-silver")
+            write_batch(clean_events(batch, table, schema), path, batch_id, fmt, f"{writer}-silver" if fmt == "delta" else writer)
             return
         # Two sinks follow: parse and deduplicate the batch once.
         tagged = tag_events(batch, table, schema).persist()
         try:
             valid, rejected = split_tagged(tagged)
-            write_batch(valid, path, batch_id, fmt, f"{table}-silver")
-            write_batch(rejected, quarantine, batch_id, fmt, f"{table}-quarantine")
+            write_batch(valid, path, batch_id, fmt, f"{writer}-silver" if fmt == "delta" else writer)
+            write_batch(rejected, quarantine, batch_id, fmt, f"{writer}-quarantine" if fmt == "delta" else writer)
         finally:
             tagged.unpersist()
 

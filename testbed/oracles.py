@@ -656,11 +656,18 @@ oracle(
     "snk4_batch_append",
     "select *, cast(0 as integer) as batch_id from e_payments union all select *, cast(1 as integer) from e_payments",
 )
+oracle("snk4_new_checkpoint", "select * from e_orders union all select * from e_orders")
 oracle("snk5_overwrite", "select * from v_customers")
 oracle(
     "snk6_quarantine_append",
     "select *, 'r1' as run_id from q_order_items union all select *, 'r2' from q_order_items",
 )
+oracle(
+    "snk6_run_id_text",
+    "select q.*, r.run_id from q_order_items q, (select unnest(['007', '2024-01-05', 'it''s']) as run_id) r",
+)
+oracle("snk8_quarantine_by_name", "select *, 'r1' as run_id from q_order_items union all select *, 'r2' from q_order_items")
+oracle("snk8_gold_after_rerun", "select * from g_fact_orders")
 oracle("snk7_replace_table", "select * from g_dim_sellers")
 oracle("snk8_register_table", "select *, 'sellers' as table_name from v_sellers")
 
@@ -1050,31 +1057,46 @@ oracle(
 
 # --- options beyond the base pipeline ------------------------------------------------------------------------------------------------------
 
-oracle(
-    "x1_stream_quarantine",
-    "select * from (select * replace (trim(lower(order_status)) as order_status), concat_ws(' | ',"
-    " case when order_id is null then 'order_id is NULL' end,"
-    " case when customer_id is null then 'customer_id is NULL' end,"
-    " case when order_purchase_timestamp is null then 'order_purchase_timestamp is NULL' end) as error_reason"
-    " from d_orders) where error_reason <> ''",
+def quarantined(table: str, order: str, reasons: list[str]) -> str:
+    """Rejected rows of a batch with their text: one row a key, and each row without an order id."""
+    fields = CTES[f"p_{table}"].split(" from ")[0]
+    rows = f"({fields}, Body from fx_stream_{table})"
+    if table == "orders":
+        rows = f"(select * replace (try_strptime(order_purchase_timestamp, '%Y-%m-%d %H:%M:%S') as order_purchase_timestamp) from {rows})"
+    first = f"select * exclude (n) from (select *, row_number() over ({order}, Body) as n from {rows} where order_id is not null) where n = 1"
+    found = ["case when order_id is null and not json_valid(Body) then 'Body is not valid JSON' end", *reasons]
+    return f"select * from (select *, concat_ws(' | ', {', '.join(found)}) as error_reason from ({first} union all select * from {rows} where order_id is null)) where error_reason <> ''"
+
+
+def _absent(column: str) -> str:
+    return f"case when {column} is null then '{column} is NULL' end"
+
+
+def _below(column: str) -> str:
+    return f"case when {column} is null or {column} < 0 then '{column} is NULL or negative' end"
+
+
+_KIND = "case when trim(lower(payment_type)) in ('credit card', 'creditcard', 'cc') then 'credit_card' else trim(lower(payment_type)) end"
+_orders = quarantined(
+    "orders",
+    "partition by order_id order by customer_id nulls last, order_status nulls last, order_purchase_timestamp nulls last",
+    [_absent("order_id"), _absent("customer_id"), _absent("order_purchase_timestamp")],
 )
+oracle("x1_stream_quarantine", f"select * replace (trim(lower(order_status)) as order_status) from ({_orders})")
 oracle(
     "x1_stream_quarantine_items",
-    "select * from (select *, concat_ws(' | ', case when order_id is null then 'order_id is NULL' end,"
-    " case when price is null or price < 0 then 'price is NULL or negative' end,"
-    " case when freight_value is null or freight_value < 0 then 'freight_value is NULL or negative' end)"
-    " as error_reason from d_items) where error_reason <> ''",
-)
-oracle(
-    "x1_stream_quarantine_payments",
-    "select * from (select order_id, case when trim(lower(payment_type)) in ('credit card', 'creditcard', 'cc')"
-    " then 'credit_card' else trim(lower(payment_type)) end as payment_type, payment_installments, payment_value,"
-    " concat_ws(' | ', case when order_id is null then 'order_id is NULL' end,"
-    " case when payment_value is null or payment_value < 0 then 'payment_value is NULL or negative' end,"
-    " case when payment_installments is null or payment_installments < 0"
-    " then 'payment_installments is NULL or negative' end) as error_reason"
-    " from (select distinct * from p_payments)) where error_reason <> ''",
-)
+    quarantined(
+        "items",
+        "partition by order_id, order_item_id order by price nulls last, freight_value nulls last",
+        [_absent("order_id"), _below("price"), _below("freight_value")],
+    ),
+)
+_payments = quarantined(
+    "payments",
+    "partition by order_id, payment_type, payment_installments, payment_value order by order_id",
+    [_absent("order_id"), _below("payment_value"), _below("payment_installments")],
+)
+oracle("x1_stream_quarantine_payments", f"select * replace ({_KIND} as payment_type) from ({_payments})")
 oracle(
     "x2_newest_versions",
     "select order_id, customer_id, case when order_approved_at is null then 'CLOSED' else order_status end"

@@ -267,7 +267,18 @@ def snk4_batch_append(spark, sf_dir):
     again = cleaners.clean_events(bodies(spark, sf_dir, "payments"), "payments")
     for _ in range(2):
         stream_silver.write_batch(again, path, 1)
-    return tables.read_path(spark, path)
+    return tables.read_path(spark, path).drop("writer")
+
+
+@query
+def snk4_new_checkpoint(spark, sf_dir):
+    """A stream that starts over with a new checkpoint adds its rows to those of the old one."""
+    root = scratch_root(spark)
+    _land(bodies(spark, sf_dir, "orders"), f"{root}/bronze")
+    for name in ("c1", "c2"):
+        stream = events.body_stream(spark, f"{root}/bronze")
+        stream_silver.start_silver(stream, "orders", f"{root}/silver", f"{root}/{name}", None).awaitTermination()
+    return tables.read_path(spark, f"{root}/silver").drop("writer", "batch_id")
 
 
 @query
@@ -287,6 +298,15 @@ def snk6_quarantine_append(spark, sf_dir):
     return tables.read_path(spark, path)
 
 
+@query
+def snk6_run_id_text(spark, sf_dir):
+    """Run ids that look like numbers and dates stay the text that they are."""
+    path = f"{scratch_root(spark)}/quarantine"
+    for run in ("007", "2024-01-05", "it's"):
+        tables.write_run(_clean(spark, sf_dir, "order_items").rejected, path, run)
+    return tables.read_runs(spark, path)
+
+
 @query
 def snk7_replace_table(spark, sf_dir):
     name, path = _fresh_name("dim_sellers"), f"{scratch_root(spark)}/gold"
@@ -305,6 +325,28 @@ def snk8_register_table(spark, sf_dir):
     return tables.read_table(spark, f"{schema}.sellers").withColumn("table_name", F.lit(listed.tableName))
 
 
+@query
+def snk8_quarantine_by_name(spark, sf_dir):
+    """A quarantine read by name after its first run and again after its second."""
+    name, path = _fresh_name("quarantine"), f"{scratch_root(spark)}/quarantine"
+    for run in ("r1", "r2"):
+        tables.write_run(_clean(spark, sf_dir, "order_items").rejected, path, run)
+        tables.register(spark, name, path, history=True)
+        tables.read_table(spark, name).count()
+    return tables.read_table(spark, name)
+
+
+@query
+def snk8_gold_after_rerun(spark, sf_dir):
+    """A table that was read by name, rewritten, and read by name again."""
+    name, path = _fresh_name("fact_orders"), f"{scratch_root(spark)}/gold"
+    for _ in range(2):
+        tables.overwrite(_gold(spark, sf_dir, "fact_orders"), path)
+        tables.register(spark, name, path)
+        tables.read_table(spark, name).count()
+    return tables.read_table(spark, name)
+
+
 @query
 def snk9_event_json(spark, sf_dir):
     return events.to_events(_typed(spark, sf_dir, "order_payments"))
@@ -894,7 +936,7 @@ def _stream_silver(spark: SparkSession, sf_dir: str, table: str, quarantine: boo
     stream_silver.start_silver(
         stream, table, f"{root}/silver", f"{root}/checkpoint", None, rejected
     ).awaitTermination()
-    return tables.read_path(spark, rejected or f"{root}/silver").drop("batch_id")
+    return tables.read_path(spark, rejected or f"{root}/silver").drop("writer", "batch_id")
 
 
 @query
@@ -956,7 +998,7 @@ def str8_start_silver(spark, sf_dir):
     running = stream_silver.start_silver(stream, "orders", f"{root}/silver", f"{root}/checkpoint", "1 second")
     running.processAllAvailable()
     running.stop()
-    return tables.read_path(spark, f"{root}/silver").drop("batch_id")
+    return tables.read_path(spark, f"{root}/silver").drop("writer", "batch_id")
 
 
 @query

@@ -77,6 +77,17 @@ def test_tables_are_queryable_by_name(spark, built):
     assert tables.query_path(spark, built.gold("fact_orders"), "count(*) AS n").first().n == by_name
 
 
+def test_names_see_what_later_runs_write(spark, built):
+    batch.register(spark, built, "u_")
+    facts = spark.sql("SELECT count(*) AS n FROM u_gold.fact_orders").first().n
+    rejected = spark.sql("SELECT count(*) AS n FROM u_quarantine.orders").first().n
+    assert rejected == tables.read_runs(spark, built.quarantine("orders")).count() > 0
+    batch.run_batch(spark, built, "2024-01-05")
+    assert spark.sql("SELECT count(*) AS n FROM u_gold.fact_orders").first().n == facts
+    runs = spark.sql("SELECT run_id, count(*) AS n FROM u_quarantine.orders GROUP BY run_id")
+    assert "2024-01-05" in {r.run_id for r in runs.collect()} and sum(r.n for r in runs.collect()) > rejected
+
+
 def test_scratch_root_needs_a_shared_folder(spark):
     from orderloom import scratch_root
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from orderloom.schemas import EVENT_SCHEMAS, WIDE_EVENT_SCHEMAS
 from orderloom.sources import events
@@ -83,8 +84,24 @@ def test_split_is_complete_and_agrees_with_the_cleaner(spark, table):
     df = bodies(spark, "/root/testdata/sf0.001", table)
     valid, rejected = cleaners.split_tagged(cleaners.tag_events(df, table))
     assert rows(valid) == rows(cleaners.clean_events(df, table))
-    terms = cleaners.CONTRACTS[table]
-    assert valid.count() + rejected.count() == terms.dedupe(terms.prepare(cleaners.parse(df, terms.schema))).count()
+    assert valid.count() + rejected.count() == cleaners.tag_events(df, table).count()
+    lost = cleaners.parse(df, cleaners.CONTRACTS[table].schema, with_body=True).filter("order_id IS NULL")
+    assert rows(lost, "Body") == rows(rejected.filter("order_id IS NULL"), "Body")
+
+
+def test_each_malformed_body_is_kept(spark):
+    df = _bodies(spark, *[f"junk {i}" for i in range(50)], "junk 1", "", {"customer_id": "c"}, _order())
+    valid, rejected = cleaners.split_tagged(cleaners.tag_events(df, "orders"))
+    assert rows(valid, "order_id") == [("o1",)]
+    assert rejected.count() == 53 and rejected.filter(F.col("error_reason").startswith(cleaners.MALFORMED)).count() == 52
+
+
+def test_a_new_checkpoint_adds_to_what_is_there(spark, tmp_path):
+    for name in ("one", "two"):
+        _bodies(spark, _order(name)).write.parquet(f"{tmp_path}/{name}")
+        stream = events.body_stream(spark, f"{tmp_path}/{name}")
+        stream_silver.start_silver(stream, "orders", f"{tmp_path}/silver", f"{tmp_path}/c-{name}", None).awaitTermination()
+    assert rows(spark.read.parquet(f"{tmp_path}/silver"), "order_id", "batch_id") == [("one", 0), ("two", 0)]
 
 
 def test_a_repeated_batch_is_written_once(spark, tmp_path):
