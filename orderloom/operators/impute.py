@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orderloom.operators.joins import join_one_per_key
+
 
 def group_means(df: DataFrame, key: str, columns: dict[str, Column]) -> DataFrame:
     """Rounded mean per group of each column over the rows where its validity predicate holds."""
@@ -19,12 +21,12 @@ def group_mean(df: DataFrame, key: str, columns: dict[str, Column]) -> DataFrame
     ``columns`` maps each column to the predicate that makes a value valid. Values become double; a
     group without any valid value leaves NULL. ``key`` moves to the front of the result.
 
-    The means are a partial aggregate of one row per group, joined back without a hint: the optimiser
-    broadcasts them if their size allows and otherwise splits a hot group's partition, so no task
-    ever holds a whole group, as a window over the group would.
+    The means are a partial aggregate of one row per group. The optimiser broadcasts them if their size
+    allows; otherwise :func:`join_one_per_key` spreads a hot group, so no task holds a whole one, as a
+    window over the group would.
     """
     others = [c for c in df.columns if c != key]
-    joined = df.join(group_means(df, key, columns), key, "left")
+    joined = join_one_per_key(df, group_means(df, key, columns), [key])
 
     def value(name: str) -> Column:
         if name not in columns:

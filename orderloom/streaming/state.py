@@ -40,6 +40,34 @@ def newest_versions(history: DataFrame, keys: Sequence[str], newest_by: Sequence
 def compact(
     spark: SparkSession, history_path: str, target_path: str, keys: Sequence[str], fmt: str = "parquet"
 ) -> None:
-    """Write the newest row per key to a table of its own, replacing the last compaction."""
+    """Bring a table of the newest row per key up to date with an append-only history.
+
+    Only batches newer than those in the last compaction are read: ``batch_id`` is a folder of the history,
+    so the filter prunes files. Each compaction is a folder ``version=<n>`` of its own, written beside the
+    last one, which readers of :func:`compacted` keep until the new one is complete.
+    """
     history = spark.read.format(fmt).load(history_path)
-    newest_versions(history, keys).write.format(fmt).mode("overwrite").save(target_path)
+    by = [c for c in ("writer",) if c in history.columns]
+    last = _last_version(spark, target_path)
+    if last is None:
+        newest_versions(history, keys).write.format(fmt).save(f"{target_path}/version=0")
+        return
+    done = spark.read.format(fmt).load(f"{target_path}/version={last}")
+    if by:  # the newest batch that each writer had: one row a writer
+        marks = done.groupBy(*by).agg(F.max("batch_id").alias("_seen"))
+        fresh = history.join(marks, by, "left").filter(F.col("_seen").isNull() | (F.col("batch_id") > F.col("_seen"))).drop("_seen")
+    else:
+        fresh = history.filter(F.col("batch_id") > F.lit(done.agg(F.max("batch_id")).first()[0]))
+    newest_versions(done.unionByName(fresh), keys).write.format(fmt).save(f"{target_path}/version={last + 1}")
+
+
+def _last_version(spark: SparkSession, path: str) -> int | None:
+    """The newest complete compaction: Spark's writers put ``_SUCCESS`` into a folder when they are done."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/version=*/_SUCCESS")
+    found = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(hadoop)
+    return max((int(f.getPath().getParent().getName().split("=")[1]) for f in found or ()), default=None)
+
+
+def compacted(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """The newest complete compaction of :func:`compact`."""
+    return spark.read.format(fmt).load(f"{path}/version={_last_version(spark, path)}")

@@ -1099,9 +1099,8 @@ _payments = quarantined(
 oracle("x1_stream_quarantine_payments", f"select * replace ({_KIND} as payment_type) from ({_payments})")
 oracle(
     "x2_newest_versions",
-    "select order_id, customer_id, case when order_approved_at is null then 'CLOSED' else order_status end"
-    " as order_status, cast(case when order_approved_at is null then 1 else 0 end as integer) as batch_id"
-    " from v_orders",
+    "select * replace (case when order_approved_at is null then 'CLOSED' else order_status end as order_status),"
+    " cast(case when order_approved_at is null then 1 else 0 end as integer) as batch_id from v_orders",
 )
 oracle(
     "x3_shared_gold",

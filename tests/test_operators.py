@@ -161,3 +161,22 @@ def test_dimension_keys_are_unique_on_clean_input(spark, name):
     table = gold.build(name, lambda t: silver.clean(raw(spark, sf, t), t).valid)
     key = {"dim_customers": "customer_id", "dim_products": "product_id", "dim_sellers": "seller_id"}.get(name, "date_key")
     assert profile.duplicate_keys(table, [key]).count() == 0
+
+
+def test_a_hot_key_is_spread(spark):
+    """A third of all rows share a key, and the other side is an aggregate on it: no task holds them all."""
+    from orderloom.operators.joins import join_one_per_key
+
+    df = spark.range(9000).select(F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"), F.col("id").alias("v"))
+    means = df.groupBy("k").agg(F.avg("v").alias("m"))
+    before = {c: spark.conf.get(c) for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    for c, v in zip(before, ("-1", "false", "32"), strict=True):
+        spark.conf.set(c, v)
+    try:
+        joined = join_one_per_key(df, means, ["k"])
+        tasks = joined.filter("k = -1").groupBy(F.spark_partition_id()).count().collect()
+        assert sum(r["count"] for r in tasks) == 3000 and max(r["count"] for r in tasks) < 1000
+        assert rows(joined) == rows(df.join(means, "k").select("k", "v", "m"))
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)

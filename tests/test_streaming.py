@@ -170,9 +170,9 @@ def test_newest_version_and_compaction(spark, tmp_path):
     for batch_id, status in enumerate(["created", "shipped"]):
         df = spark.createDataFrame([("o1", status), (f"only{batch_id}", status)], "order_id string, order_status string")
         stream_silver.write_batch(df, f"{tmp_path}/history", batch_id)
-    state.compact(spark, f"{tmp_path}/history", f"{tmp_path}/current", ["order_id"])
+        state.compact(spark, f"{tmp_path}/history", f"{tmp_path}/current", ["order_id"])
     expected = [("o1", "shipped"), ("only0", "created"), ("only1", "shipped")]
-    assert rows(spark.read.parquet(f"{tmp_path}/current"), "order_id", "order_status") == expected
+    assert rows(state.compacted(spark, f"{tmp_path}/current"), "order_id", "order_status") == expected
 
 
 def test_unify_keeps_batch_rows_and_adds_new_orders(spark):
