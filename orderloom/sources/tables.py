@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,7 +48,26 @@ def query_path(spark: SparkSession, path: str, columns: str = "*", fmt: str = "p
 
 
 def overwrite(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    df.write.format(fmt).mode("overwrite").save(path)
+    """Replace a table's rows.
+
+    Parquet files are written beside the table and take its place when they are complete: a write that
+    fails leaves the old rows, and ``df`` may read the table that it replaces.
+    """
+    if fmt == "delta":
+        df.write.format(fmt).mode("overwrite").save(path)
+        return
+    path = path.rstrip("/")
+    spark, run = df.sparkSession, uuid.uuid4().hex[:12]
+    new, old = f"{path}__new_{run}", f"{path}__old_{run}"
+    df.write.format(fmt).save(new)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    files = hadoop(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if files.exists(hadoop(path)):
+        files.rename(hadoop(path), hadoop(old))
+    if not files.rename(hadoop(new), hadoop(path)):
+        raise OSError(f"{new} could not take the place of {path}; the former rows are in {old}")
+    files.delete(hadoop(old), True)
+    spark.catalog.refreshByPath(path)
 
 
 def append(df: DataFrame, path: str, fmt: str = "parquet") -> None:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from orderloom.functions import calendar, measures, text
 from orderloom.lake import Lake, scratch_root
 from orderloom.operators import casting, dedupe, impute, nulls, profile, rules
+from orderloom.operators.joins import join_one_per_key
 from orderloom.plans import batch, gold, kpi, silver
 from orderloom.plans.contracts import CONTRACTS, PRODUCT_DIMENSIONS, SELLER_STATES
 from orderloom.schemas import EVENT_SCHEMAS, WIDE_EVENT_SCHEMAS
@@ -488,7 +489,7 @@ def flt10_status_subset(spark, sf_dir):
 def jn1_left_to_group_mean(spark, sf_dir):
     products = _standardised(spark, sf_dir, "products")
     means = impute.group_means(products, "product_category_name", {"product_weight_g": F.col("product_weight_g") > 0})
-    joined = products.join(means, "product_category_name", "left")
+    joined = join_one_per_key(products, means, ["product_category_name"])
     return joined.select(
         "product_category_name", "product_id", F.col("product_weight_g__mean").alias("category_mean_weight")
     )

@@ -88,6 +88,16 @@ def test_names_see_what_later_runs_write(spark, built):
     assert "2024-01-05" in {r.run_id for r in runs.collect()} and sum(r.n for r in runs.collect()) > rejected
 
 
+def test_an_overwrite_that_fails_leaves_the_old_rows(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    tables.overwrite(spark.range(10), path)
+    with pytest.raises(PySparkException):
+        tables.overwrite(spark.sql("SELECT CAST(concat('x', id) AS INT) AS id FROM range(5)"), path)
+    assert tables.read_path(spark, path).count() == 10
+    tables.overwrite(tables.read_path(spark, path).filter("id < 3"), path)
+    assert rows(tables.read_path(spark, path)) == [(0,), (1,), (2,)]
+
+
 def test_scratch_root_needs_a_shared_folder(spark):
     from orderloom import scratch_root
 
