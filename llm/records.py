@@ -22,6 +22,7 @@ written, in the order of their texts. No rows: no records, an empty index. Other
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 from array import array
@@ -80,6 +81,7 @@ def encoder(path: str, pattern: str):
     Special tokens' strings in a text are ordinary text. The pattern is the tokenizer's own; its matches are encoded
     apart from each other, so each distinct match goes through the library once as long as the worker remembers it.
     """
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel part; threads would only cost memory
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
