@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from dataclasses import dataclass
 
@@ -42,14 +41,6 @@ class Lake:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """A fresh folder every executor can reach.
-
-    On a cluster that is a new sub-folder of ``spark.checkpoint.dir``. Only a local session, whose
-    executors share this machine's disk, may fall back to the system's temporary folder.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/orderloom-{uuid.uuid4().hex}"
-    if spark.conf.get("spark.master", "").startswith("local"):
-        return tempfile.mkdtemp(prefix="orderloom-")
-    raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    """A fresh folder every executor can reach: below ``spark.checkpoint.dir``, else below the session's warehouse."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
+    return f"{shared.rstrip('/')}/orderloom-{uuid.uuid4().hex}"

@@ -1039,21 +1039,17 @@ oracle("dq9_hard_drop", "select * from r_sellers")
 # --- streaming --------------------------------------------------------------------------------------------------------------------------
 
 oracle("bronze_stream", "select * from fx_stream_items")
-oracle("str2_skip_empty", "select distinct cast(0 as integer) as batch_id from e_orders")
+oracle("str2_skip_empty", "select *, cast(0 as integer) as batch_id from e_orders")
 oracle("str3_json_parse", "select * from p_orders")
 for _table in EVENTS:
     oracle(f"stream_silver_{_table}", f"select * from e_{_table}")
-oracle(
-    "str7_dispatch",
-    "select 'orders' as event_table, count(*) as kept_rows from e_orders union all"
-    " select 'items', count(*) from e_items union all select 'payments', count(*) from e_payments",
+_SIDE_BY_SIDE = (
+    "select 'orders' as event_table, * from e_orders union all by name select 'items' as event_table, * from e_items"
+    " union all by name select 'payments' as event_table, * from e_payments"
 )
+oracle("str7_dispatch", _SIDE_BY_SIDE)
 oracle("str8_start_silver", "select * from e_orders")
-oracle(
-    "str9_three_queries",
-    "select 'orders' as event_table, order_id from e_orders union all select 'items', order_id from e_items"
-    " union all select 'payments', order_id from e_payments",
-)
+oracle("str9_three_queries", _SIDE_BY_SIDE)
 
 # --- options beyond the base pipeline ------------------------------------------------------------------------------------------------------
 

@@ -956,7 +956,7 @@ def str2_skip_empty(spark, sf_dir):
     full = bodies(spark, sf_dir, "orders")
     process(full, 0)
     process(full.filter(F.lit(False)), 1)
-    return tables.read_path(spark, path).select("batch_id").distinct()
+    return tables.read_path(spark, path).drop("writer")
 
 
 @query
@@ -979,16 +979,17 @@ def stream_silver_payments(spark, sf_dir):
     return _stream_silver(spark, sf_dir, "payments")
 
 
+def _side_by_side(rows: dict[str, DataFrame]) -> DataFrame:
+    first, *rest = [df.select(F.lit(table).alias("event_table"), "*") for table, df in rows.items()]
+    for df in rest:
+        first = first.unionByName(df, allowMissingColumns=True)
+    return first
+
+
 @query
 def str7_dispatch(spark, sf_dir):
-    """The table name picks the cleaner: rows kept per table."""
-    counts = [
-        cleaners.clean_events(bodies(spark, sf_dir, table), table).agg(
-            F.lit(table).alias("event_table"), F.count(F.lit(1)).alias("kept_rows")
-        )
-        for table in cleaners.CONTRACTS
-    ]
-    return counts[0].unionAll(counts[1]).unionAll(counts[2])
+    """The table name picks the cleaner: all rows kept, with their table."""
+    return _side_by_side({table: cleaners.clean_events(bodies(spark, sf_dir, table), table) for table in cleaners.CONTRACTS})
 
 
 @query
@@ -1010,11 +1011,8 @@ def str9_three_queries(spark, sf_dir):
         _land(bodies(spark, sf_dir, table), lake.path("stream_bronze", table))
     for running in stream_silver.start_all(spark, lake, None).values():
         running.awaitTermination()
-    ids = [
-        tables.read_path(spark, lake.path("stream_silver", table)).select(F.lit(table).alias("event_table"), "order_id")
-        for table in EVENT_SCHEMAS
-    ]
-    return ids[0].unionAll(ids[1]).unionAll(ids[2])
+    kept = {table: tables.read_path(spark, lake.path("stream_silver", table)) for table in EVENT_SCHEMAS}
+    return _side_by_side({table: rows.drop("writer", "batch_id") for table, rows in kept.items()})
 
 
 # --- options beyond the base pipeline -------------------------------------------------------------
