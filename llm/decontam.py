@@ -15,7 +15,6 @@ documents give equal rows. Other columns pass through `clean` as they are, whate
 
 from __future__ import annotations
 
-import hashlib
 import re
 from itertools import repeat
 

@@ -269,6 +269,14 @@ def test_passages_that_repeat(spark, tables):
     assert sum(got[i].n_cut == 0 for i in many) == 1  # one of them stays
 
 
+def test_a_short_line_that_many_share_is_no_passage(spark, tables):
+    line = text(35, 300)
+    long = text(12, 301) + " " + line + " " + text(12, 302)
+    docs = {i: text(60, 400 + i) + " " + (long if i in (20, 33) else line) + " " + text(60, 500 + i) for i in range(40)}
+    got = {r.doc_id: r for r in passages.op6_passages(spark, tables(documents=[("doc_id", "text"), *docs.items()])).collect()}
+    assert {i for i, r in got.items() if r.repeated} == {20, 33} and got[33].component_id == 20 and got[20].spans == "60:119"
+
+
 def test_passages_edges(spark, tables):
     got = passages.op6_passages(spark, tables(documents=[("doc_id", "text"), *EDGE])).collect()
     assert len(got) == len(EDGE)
