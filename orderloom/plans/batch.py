@@ -13,6 +13,7 @@ from orderloom.lake import Lake
 from orderloom.plans import gold, kpi, silver
 from orderloom.schemas import ENTITIES, EVENT_SCHEMAS, MULTILINE_ENTITIES, raw_schema
 from orderloom.sources import files, tables
+from orderloom.streaming.unify import BATCH_TABLE, unify
 
 
 def ingest(spark: SparkSession, lake: Lake, entities: Iterable[str] = ENTITIES, **options: str) -> None:
@@ -58,8 +59,23 @@ def refine(
     tables.overwrite(cleaned.valid, lake.silver(entity), lake.fmt)
 
 
-def publish_gold(spark: SparkSession, lake: Lake, table: str) -> None:
-    rows = gold.build(table, lambda name: tables.read_path(spark, lake.silver(name), lake.fmt))
+def silver_rows(spark: SparkSession, lake: Lake, name: str, with_streams: bool = False) -> DataFrame:
+    """A silver table; with ``with_streams`` also the streamed rows whose key it does not hold yet."""
+    rows = tables.read_path(spark, lake.silver(name), lake.fmt)
+    streamed = {batch_name: table for table, batch_name in BATCH_TABLE.items()}.get(name)
+    path = lake.path("stream_silver", streamed) if streamed else ""
+    if not with_streams or not streamed or not tables.exists(spark, path):
+        return rows
+    return unify(rows, tables.read_path(spark, path, lake.fmt), streamed)
+
+
+def publish_gold(spark: SparkSession, lake: Lake, table: str, with_streams: bool = False) -> None:
+    """Rebuild one gold table, over the batch layer alone or over both pipelines.
+
+    Both need the same columns: run the streams with ``orderloom.schemas.WIDE_EVENT_SCHEMAS``, else facts hold NULL where
+    the default payload has no column.
+    """
+    rows = gold.build(table, lambda name: silver_rows(spark, lake, name, with_streams))
     tables.overwrite(rows, lake.gold(table), lake.fmt)
 
 
@@ -106,14 +122,17 @@ def run_batch(
     strict: bool = False,
     tolerant: bool = False,
     concurrent: int = 4,
+    with_streams: bool = False,
 ) -> None:
     """One complete run. Repeating it with the same ``run_id`` leaves every table unchanged.
 
+    With ``with_streams`` the gold layer holds what the streams have brought since, see :func:`publish_gold`.
+
     Tables of one layer do not depend on each other, so several are submitted together and the small
     ones fill the cluster while a large one ends.
     """
     ingest(spark, lake)
     each(spark, ENTITIES, lambda entity: refine(spark, lake, entity, run_id, strict, tolerant), concurrent)
-    each(spark, gold.TABLES, lambda table: publish_gold(spark, lake, table), concurrent)
+    each(spark, gold.TABLES, lambda table: publish_gold(spark, lake, table, with_streams), concurrent)
     for prefix in _REGISTERED.get(lake.root, ()):
         register(spark, lake, prefix)

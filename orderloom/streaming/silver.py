@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -84,7 +84,11 @@ def start_silver(
 
 
 def start_all(
-    spark: SparkSession, lake: Lake, interval: str | None = TRIGGER, with_quarantine: bool = False
+    spark: SparkSession,
+    lake: Lake,
+    interval: str | None = TRIGGER,
+    with_quarantine: bool = False,
+    schemas: Mapping[str, StructType] = EVENT_SCHEMAS,
 ) -> dict[str, StreamingQuery]:
     """One independent query per event table, from the lake's raw events to its trusted events."""
     return {
@@ -95,7 +99,8 @@ def start_all(
             lake.checkpoint("stream_silver", table),
             interval,
             lake.path("stream_quarantine", table) if with_quarantine else None,
-            fmt=lake.fmt,
+            schemas[table],
+            lake.fmt,
         )
         for table in EVENT_SCHEMAS
     }

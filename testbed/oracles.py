@@ -1135,6 +1135,7 @@ oracle(
     " p.payment_type, p.payment_installments, p.payment_value from w_shared_payments p join w_shared_orders o"
     " on p.order_id = o.order_id",
 )
+ORACLES["run_both_fact_payments"] = ORACLES["x3_shared_fact_payments"]
 _dims = ("product_weight_g", "product_length_cm", "product_height_cm", "product_width_cm")
 oracle(
     "x5_impute_dimensions",

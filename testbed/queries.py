@@ -1136,6 +1136,21 @@ def run_batch_revenue_by_month(spark, sf_dir):
     return batch.report(spark, lake, "kpi_revenue_by_month")
 
 
+@query
+def run_both_fact_payments(spark, sf_dir):
+    """Both pipelines into one lake, through real streams, and one gold fact over them."""
+    lake = _lake(spark)
+    for entity in ("orders", "order_payments"):
+        tables.overwrite(_valid(spark, sf_dir, entity), lake.silver(entity))
+    sent = {"orders": "orders", "items": "order_items", "payments": "order_payments"}
+    for table, entity in sent.items():
+        _land(events.to_events(_typed(spark, sf_dir, entity)).select("Body"), lake.path("stream_bronze", table))
+    for running in stream_silver.start_all(spark, lake, None, schemas=WIDE_EVENT_SCHEMAS).values():
+        running.awaitTermination()
+    batch.publish_gold(spark, lake, "fact_payments", with_streams=True)
+    return tables.read_path(spark, lake.gold("fact_payments"))
+
+
 @query
 def run_batch_quarantine_counts(spark, sf_dir):
     """Rejected rows per table after a run."""
