@@ -21,10 +21,11 @@ import base64
 import hashlib
 import heapq
 from array import array
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from itertools import chain
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,7 +39,7 @@ LEAF = 6
 #: Above this length a window is merged through a heap.
 SHORT = 64
 #: What a worker remembers at most: matches of the pattern (twice that), leaves and pairs.
-MATCHES, LEAVES, PAIRS = 200_000, 200_000, 300_000
+MATCHES, LEAVES, PAIRS = 60_000, 60_000, 100_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -137,10 +138,10 @@ class Bpe:
         half = len(data) // 2
         return self.join(self.encode_bytes(data[:half]), self.encode_bytes(data[half:]))
 
-    def encode(self, text: str) -> list[int]:
-        return list(chain.from_iterable(self._matches.all(self.split(text))))
+    def encode(self, text: str) -> array:
+        return array("i", chain.from_iterable(self._matches.all(self.split(text))))
 
-    def decode(self, ids: list[int]) -> bytes:
+    def decode(self, ids: Sequence[int]) -> bytes:
         """Concatenates up the same kind of tree."""
         if len(ids) <= 1 << 12:
             return b"".join(map(self.bytes_of.__getitem__, ids))
@@ -164,7 +165,13 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
     def make():
         bpe = loaded(path, pattern)
-        return lambda batch: {"doc_id": batch.column("doc_id"), "ids": [bpe.encode(t) for t in texts(batch)]}
+
+        def step(batch: pa.RecordBatch) -> dict:
+            ids = [np.frombuffer(bpe.encode(t), np.int32) for t in texts(batch)]
+            offsets = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
+            return {"doc_id": batch.column("doc_id"), "ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids)))}
+
+        return step
 
     return per_batch(docs.select(F.col("doc_id").cast("long"), "text"), make, "doc_id long, ids array<int>")
 

@@ -55,7 +55,8 @@ def per_batch(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dict]
         for batch in batches:
             if batch.num_rows:
                 out = step(batch)
-                yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in arrow], schema=arrow)
+                arrays = [out[f.name].cast(f.type) if isinstance(out[f.name], pa.Array) else pa.array(out[f.name], f.type) for f in arrow]
+                yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
 
     return df.mapInArrow(run, schema)
 

@@ -46,7 +46,7 @@ MISSPELLED = 0.7
 #: Words around a hit in which others count as close.
 CONTEXT = 10
 THRESHOLD = 0.7
-REMEMBERED = 150_000
+REMEMBERED = 60_000
 _TOKEN = re.compile(r"[\"“”„«»\n]|[^\x00-\x2F\x3A-\x60\x7B-\x7F“”„«»]+")
 
 

@@ -26,13 +26,13 @@ TIKTOKEN = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=BPE.ranks
 @given(st.text(max_size=200) | st.text(alphabet="abeint \n'", max_size=400))
 def test_bpe_equals_the_library(text):
     ids = BPE.encode(text)
-    assert ids == TIKTOKEN.encode_ordinary(text)
+    assert list(ids) == TIKTOKEN.encode_ordinary(text)
     assert BPE.decode(ids) == text.encode()
 
 
 @pytest.mark.parametrize("text", ["a" * 5001, "ab" * 3000 + "x", "the" * 3000, " " * 3000 + "x", "é" * 2000, "1" * 4000])
 def test_long_matches(text):
-    assert BPE.encode(text) == TIKTOKEN.encode_ordinary(text)
+    assert list(BPE.encode(text)) == TIKTOKEN.encode_ordinary(text)
 
 
 def test_join_at_every_cut():
