@@ -72,7 +72,7 @@ def frames(data: bytes):
 
 
 #: Pre-tokens that a worker remembers: twice that at most.
-REMEMBERED = 100_000
+REMEMBERED = 60_000
 
 
 def encoder(path: str, pattern: str):
