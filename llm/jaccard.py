@@ -232,7 +232,10 @@ def _counting(g: dict) -> Iterator[dict]:
 
 
 def join(docs: DataFrame) -> DataFrame:
-    """doc_id, row, n_links, class_id (least doc_id reachable by links, its own included) of each row of docs."""
+    """doc_id, row, n_links, class_id (least doc_id reachable by links, its own included) and component of each row of docs.
+
+    component tells classes apart even where they share their least doc_id; null without words.
+    """
     docs = _keyed(docs)
     signed = written(_signed(docs), "signed")
     levels = [f"level{k}" for k in range(DEPTH)]
@@ -266,18 +269,26 @@ def join(docs: DataFrame) -> DataFrame:
     links = found.groupBy("cls").agg(F.sum("links").alias("links"))
     least = whole.join(sizes, F.col("node") == F.col("cls")).groupBy("component").agg(F.min("first_id").alias("least"))
     of_class = sizes.join(links, "cls", "left").join(whole, F.col("cls") == F.col("node"), "left").join(least, "component", "left")
-    of_class = written(of_class.selectExpr("cls", "copies - 1 + coalesce(links, 0) as n_links", "coalesce(least, first_id) as class_id"), "of-class")
-    ends = sound.select("doc_id", "row", "cls").join(of_class, "cls").select("doc_id", "row", "n_links", "class_id")
-    return ends.union(signed.filter("cls is null").selectExpr("doc_id", "row", "0L", "doc_id"))
+    of_class = written(of_class.selectExpr("cls", "copies - 1 + coalesce(links, 0) as n_links", "coalesce(least, first_id) as class_id", "coalesce(component, cls) as component"), "of-class")
+    ends = sound.select("doc_id", "row", "cls").join(of_class, "cls").select("doc_id", "row", "n_links", "class_id", "component")
+    return ends.union(signed.filter("cls is null").selectExpr("doc_id", "row", "0L", "doc_id", "cast(null as long)"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """docs with one row of each class: that of least doc_id, and of rows that share it one of least text hash."""
-    kept = join(docs.select("doc_id", "text")).filter(F.col("doc_id").isNull() & F.col("class_id").isNull() | (F.col("doc_id") == F.col("class_id")))
-    kept = kept.groupBy("class_id", F.when(F.col("class_id").isNull(), F.col("row")).alias("own")).agg(F.min("row").alias("row")).select("row").distinct()
+    """docs with one row of each class: that of least doc_id, and of rows that share it one of least text hash.
+
+    Rows without words link with nothing and all stay. Of rows equal in doc_id and text one stays, whatever else they hold.
+    """
+    rows = written(join(docs.select("doc_id", "text")).groupBy("component", "doc_id", "row").agg(F.count("*").alias("copies")), "kept-of")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "copies"))
+    kept = rows.filter("component is not null").groupBy("component").agg(first.alias("first")).selectExpr("first.row as row", "first.copies as copies")
+    kept = written(kept.union(rows.filter("component is null").selectExpr("row", "1L")), "kept")
     doc_id, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
-    packed = docs.select(F.struct("*").alias("all"), F.xxhash64(doc_id, text).alias("row")).join(written(kept, "kept"), "row", "left_semi")
-    return packed.select(*[F.col(f"all.`{c}`").alias(c) for c in docs.columns])
+    packed = docs.select(F.struct("*").alias("all"), F.xxhash64(doc_id, text).alias("row"))
+    single = packed.join(kept.filter("copies = 1"), "row", "left_semi").select("all")
+    # only rows that stand more than once are brought together
+    many = packed.join(kept.filter("copies > 1"), "row", "left_semi").groupBy("row").agg(F.min_by("all", F.xxhash64(F.to_json("all"))).alias("all"))
+    return single.union(many.select("all")).select(*[F.col(f"all.`{c}`").alias(c) for c in docs.columns])
 
 
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -214,6 +214,15 @@ def test_jaccard_edges(spark, tables):
     assert jaccard.op5_jaccard_join(spark, tables(documents=[("doc_id", "text")])).count() == 0
 
 
+def test_one_of_each_class_stays_where_doc_ids_repeat(spark, tables):
+    """Unlinked texts under one doc_id all stay, and of equal rows one does."""
+    one, two, three = text(30, 600), text(30, 601), text(30, 602)
+    rows = [(1, one, "a"), (1, two, "a"), (1, None, "a"), (1, three, "a"), (2, one, "a"), (3, two + " end", "a"), *[(7, text(30, 603), s) for s in "cba"], (9, None, "a"), (9, None, "a"), (None, three, "a"), *[(None, "two words", "a")] * 2]
+    kept = jaccard.keep_one(table(spark, tables(documents=[("doc_id", "text", "source"), *rows]), "documents"))
+    got = sorted(((x.doc_id, x.text) for x in kept.collect()), key=str)
+    assert got == sorted([(1, one), (1, two), (1, None), (1, three), (7, text(30, 603)), (9, None), (9, None), (None, "two words")], key=str)
+
+
 def test_components(spark):
     r = random.Random(9)
     pairs = [(r.randrange(300), r.randrange(300)) for _ in range(170)] + [(1000 + i, 1001 + i) for i in range(60)] + [(0, 2000 + i) for i in range(200)] + [(5, 5)]
