@@ -4,7 +4,8 @@ Strong patterns (an assignment to a telling name, an access key id, a long hexad
 stand. Weak ones, which alone would report far too much, are parts of a credential: a login or client name, a secret-like
 token or a short password, and an endpoint. An interval join brings together parts of one document whose distance is at
 most SCOPE characters, and a weak part is reported only where its complement is in scope: a login by a secret or a
-strong match, a weak secret by a login, an access key id or an endpoint. The join is on document and on a cell of SCOPE
+strong match, a weak secret by a login, an access key id or an endpoint, which may also hold it (a token in a webhook's
+address). Distance is from end to start, however long the parts are. The join is on document and on a cell of SCOPE
 characters, three cells to be asked, and stops at the first partner; so a document full of parts is split over its cells.
 
 Cases: a null text is empty and has no spans. Equal rows give equal rows. No rows: no rows. Only doc_id and text are read
@@ -63,15 +64,17 @@ def link(found: DataFrame) -> DataFrame:
         return found.select("row", F.explode(column).alias("x")).select("row", F.col("x.s").alias("s"), F.col("x.e").alias("e"), F.col("x.kind").alias("kind"))
 
     asks = cells(F.concat("logins", "weak")).filter(F.col("row").isNotNull()).distinct()
-    for_login = cells(F.concat("weak", "base")).selectExpr("row", "s as ps", "e as pe", "3 as asks")
-    for_weak = cells(F.concat("logins", "ends", F.filter("base", lambda x: x["kind"] == 1))).selectExpr("row", "s as ps", "e as pe", "4 as asks")
-    partners = for_login.union(for_weak).withColumn("cell", F.floor(F.col("ps") / SCOPE)).distinct()
-    # a part no longer than its own cell's neighbours reach: spans longer than SCOPE are asked for by both their ends
+    for_login = cells(F.concat("weak", "base")).selectExpr("row", "s as ps", "e as pe", "false as holds", "3 as asks")
+    for_weak = cells(F.concat("logins", "ends", F.filter("base", lambda x: x["kind"] == 1))).selectExpr("row", "s as ps", "e as pe", "kind = 5 as holds", "4 as asks")
+    # in every cell that a partner touches: it may be longer than SCOPE, and its nearer end counts
+    partners = for_login.union(for_weak).distinct().withColumn("cell", F.explode(F.expr(f"sequence(floor(ps / {SCOPE}), floor(pe / {SCOPE}))")))
+    # spans longer than SCOPE are asked for by both their ends
     near = asks.withColumn("cell", F.explode(F.array_distinct(F.concat(*[F.array(F.floor(F.col(c) / SCOPE) + d) for c in ("s", "e") for d in (-1, 0, 1)]))))
     mine = near.alias("a").join(
         partners.alias("p"),
         (F.col("a.row") == F.col("p.row")) & (F.col("a.cell") == F.col("p.cell")) & (F.col("a.kind") == F.col("p.asks"))
-        & ((F.col("p.ps") >= F.col("a.e")) & (F.col("p.ps") - F.col("a.e") <= SCOPE) | (F.col("p.pe") <= F.col("a.s")) & (F.col("a.s") - F.col("p.ps") <= SCOPE)),
+        & (F.col("p.ps") - F.col("a.e") <= SCOPE) & (F.col("a.s") - F.col("p.pe") <= SCOPE)
+        & ((F.col("p.ps") >= F.col("a.e")) | (F.col("p.pe") <= F.col("a.s")) | F.col("p.holds")),
         "left_semi",
     )
     return mine.groupBy("row").agg(F.collect_set(F.struct("s", "e", "kind")).cast(f"array<{SPAN}>").alias("extra"))

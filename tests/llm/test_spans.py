@@ -79,6 +79,23 @@ def test_weak_parts_need_their_complement(spark, tables, text, weak):
     assert ("weak:" in r.spans) == weak
 
 
+@pytest.mark.parametrize(
+    "text, kind, there",
+    [
+        ("secret=" + "k1" * 150 + " user=admin", "login", True),  # the partner before is longer than the scope
+        ("user=admin secret=" + "k1" * 150, "login", True),
+        ("https://host.example/" + "ab.c/" * 50 + " pwd=hunter22", "weak", True),
+        ("https://host.example/" + "ab.c/" * 50 + "x " * 101 + "pwd=hunter22", "weak", False),
+        ("post to https://hooks.example/abcDEF123ghiJKL456mnoPQR789", "weak", True),  # within the endpoint
+        ("post to https://hooks.example/" + "ab.c/" * 90 + "?pwd=hunter22&n=" + "1." * 200, "weak", True),
+        ("account=abcDEF123ghiJKL456mnoPQR789", "login", False),  # not its own complement
+    ],
+)
+def test_scope_is_from_end_to_start(spark, tables, text, kind, there):
+    (r,) = secret_scan.op7_secrets(spark, tables(documents=[("doc_id", "text"), (1, text)])).collect()
+    assert (f"{kind}:" in r.spans) == there
+
+
 def test_redact(spark):
     docs = spark.createDataFrame([(1, "é token=abcdefghijkl end", 9, "k"), (2, "clean", 5, "k"), (3, None, None, "k")], "doc_id long, text string, n_chars long, row string")
     got = {r.doc_id: r for r in secret_scan.redact(docs).collect()}
