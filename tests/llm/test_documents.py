@@ -278,6 +278,46 @@ def test_passages_that_repeat(spark, tables):
     assert sum(got[i].n_cut == 0 for i in many) == 1  # one of them stays
 
 
+def aligned(a, b):
+    """By all pairs of stretches of 50 words or more that begin and end alike: whether any has shingle sets of similarity 0.8."""
+    one, two = ([tuple(x[i : i + 5]) for i in range(len(x) - 4)] for x in (a, b))
+    for i in range(len(one) - 45):
+        for j in [j for j in range(len(two) - 45) if one[i] == two[j]]:
+            for x in range(i + 46, len(one) + 1):
+                own = set(one[i:x])
+                for y in [y for y in range(j + 46, len(two) + 1) if one[x - 1] == two[y - 1]]:
+                    other = set(two[j:y])
+                    if len(own & other) >= 0.8 * len(own | other) - 1e-9:
+                        return True
+    return False
+
+
+def test_stretches_equal_all_pairs():
+    """Words inserted, deleted and replaced in a passage, other words around it."""
+    r, got, want = random.Random(11), [], []
+    for _ in range(60):
+        a = r.sample(range(10**6), 58)
+        b = list(a)
+        for _ in range(r.randint(0, 3)):
+            at = r.randrange(len(b))
+            b[at : at + r.randint(0, 1)] = r.sample(range(10**6, 2 * 10**6), r.randint(0, 1))
+        a, b = (r.sample(range(10**7, 10**8), n) + x + r.sample(range(10**7, 10**8), 2) for n, x in ((r.randint(0, 3), a), (r.randint(0, 3), b)))
+        got.append(bool(passages.stretches(np.array(a), np.array(b))))
+        want.append(aligned(a, b))
+    assert got == want and 10 < sum(want) < 60
+
+
+def test_stretches_of_inserted_words_and_of_several_parts():
+    a = np.arange(1000, 1060)
+    assert passages.stretches(a, np.insert(a, 30, 7)) == [(0, 60, 0, 61)]
+    assert passages.stretches(np.insert(a, 30, 7), a) == [(0, 61, 0, 60)]
+    # 49 words alone are too few; beside them a region of 60 stands on its own
+    b = np.concatenate((np.arange(49), np.arange(5000, 5040), np.arange(2000, 2060)))
+    c = np.concatenate((np.arange(49), np.arange(6000, 6040), np.arange(2000, 2060)))
+    assert passages.stretches(b, c) == [(89, 149, 89, 149)]
+    assert passages.stretches(b[:60], c[:60]) == []
+
+
 def test_a_short_line_that_many_share_is_no_passage(spark, tables):
     line = text(35, 300)
     long = text(12, 301) + " " + line + " " + text(12, 302)
