@@ -9,7 +9,7 @@ import pytest
 
 SF_DIR = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
-TYPES = {"doc_id": pa.int64(), "item_id": pa.int64(), "page_id": pa.int64(), "vec_id": pa.int64(), "toxic": pa.int32(), "embedding": pa.list_(pa.float32())}
+TYPES = {"doc_id": pa.int64(), "item_id": pa.int64(), "page_id": pa.int64(), "vec_id": pa.int64(), "toxic": pa.int32(), "label": pa.int32(), "embedding": pa.list_(pa.float32())}
 
 
 def words(text: str | None) -> list[str]:
