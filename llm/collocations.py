@@ -54,7 +54,12 @@ def counts(docs: DataFrame, longest: int = LONGEST) -> DataFrame:
     Phrases of the longest size are the counted windows themselves; the shorter ones are their ROLLUP.
     """
     keys = ["lang", *_columns(longest)]
-    top = written(windows(docs, longest).groupBy(*keys).agg(F.count("*").alias("f")), "longest-windows")
+    # one short text for a window: a row of few columns is half the bytes to shuffle. Words hold no blanks or tabs, a lang may
+    packed = windows(docs, longest).select(F.concat(F.col("lang"), F.lit("\t"), F.concat_ws(" ", *keys[1:])).alias("window"))
+    counted = written(packed.groupBy("window").agg(F.count("*").alias("f")), "longest-windows", compression="zstd")
+    words = F.split(F.substring_index("window", "\t", -1), " ", -1)
+    lang = F.expr("substring(window, 1, length(window) - length(substring_index(window, '\t', -1)) - 1)")
+    top = counted.select(lang.alias("lang"), *[F.get(words, F.lit(k)).alias(c) for k, c in enumerate(keys[1:])], "f")
     rolled = top.rollup(*keys[:-1]).agg(F.sum("f").alias("f"), (F.lit(longest - 1) - F.bit_count(F.grouping_id())).cast("int").alias("size"))
     rolled = rolled.filter("size >= 0").withColumn(keys[-1], F.lit(None).cast("string"))
     every = rolled.unionByName(top.withColumn("size", F.lit(longest)))

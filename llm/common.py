@@ -37,11 +37,22 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/llm-{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The rows of df from a table in the shared folder: lineage ends here, and a lost executor costs nothing."""
-    path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def written(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
+    """The rows of df from a table in the shared folder: lineage ends here, and a lost executor costs nothing.
+
+    The table takes the place of the shuffles that made it, so their files go with the write.
+    """
+    spark = df.sparkSession
+    path, before = new_path(spark, name), spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", compression).parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def per_batch(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dict]], schema: str) -> DataFrame:
