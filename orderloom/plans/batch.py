@@ -8,26 +8,41 @@ from functools import partial
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StringType, StructField, StructType
 
 from orderloom.lake import Lake
 from orderloom.plans import gold, kpi, silver
 from orderloom.schemas import ENTITIES, EVENT_SCHEMAS, MULTILINE_ENTITIES, raw_schema
-from orderloom.sources import files, tables
+from orderloom.sources import files, landing, tables
+from orderloom.streaming.silver import running_query, write_batch
 from orderloom.streaming.unify import BATCH_TABLE, unify
 
 
+def land_batch(lake: Lake, entity: str) -> Callable[[DataFrame, int], None]:
+    """The function that brings one micro-batch of arrived files to bronze, whatever their layouts."""
+
+    def process(arrived: DataFrame, batch_id: int) -> None:
+        spark, paths = arrived.sparkSession, [r.path for r in arrived.select("path").collect()]
+        rows = landing.read_files(spark, paths, raw_schema(entity).names, lake.schema_file(entity), entity in MULTILINE_ENTITIES) if paths else None
+        if rows is not None:
+            write_batch(rows, lake.bronze(entity), batch_id, lake.fmt, running_query(arrived))
+
+    return process
+
+
 def ingest(spark: SparkSession, lake: Lake, entities: Iterable[str] = ENTITIES, **options: str) -> None:
     """Append the CSV files that have arrived since the last run to bronze, all entities at once.
 
+    A file's own header says which columns it has, and in which order: files of several layouts may lie side by side. New
+    columns join the table, columns that a file lacks are NULL; `landing.schema_history` tells of both.
     Records with too few or too many fields are kept as text in the rescued-data column.
     """
     queries = []
     try:
         for entity in entities:
-            stream = files.csv_stream(
-                spark, lake.raw(entity), raw_schema(entity), entity in MULTILINE_ENTITIES, rescue=True, **options
-            )
-            queries.append(files.drain(stream, lake.bronze(entity), lake.checkpoint("bronze", entity), lake.fmt))
+            arrived = landing.arrivals(spark, lake.raw(entity), **options).writeStream.foreachBatch(land_batch(lake, entity))
+            checkpoint = lake.checkpoint("bronze", entity)
+            queries.append(arrived.option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
         for query in queries:
             query.awaitTermination()
     finally:  # one that fails stops the others
@@ -35,10 +50,15 @@ def ingest(spark: SparkSession, lake: Lake, entities: Iterable[str] = ENTITIES,
             query.stop()
 
 
-def bronze(spark: SparkSession, lake: Lake, entity: str) -> DataFrame:
-    """One raw table, read with its known schema."""
-    schema = files.with_rescue(raw_schema(entity)) if lake.fmt == "parquet" else None
-    return tables.read_path(spark, lake.bronze(entity), lake.fmt, schema)
+def bronze(spark: SparkSession, lake: Lake, entity: str, every_column: bool = False) -> DataFrame:
+    """One raw table with its known columns; ``every_column`` adds those that later files brought."""
+    names = raw_schema(entity).names
+    if every_column:
+        history = landing.schema_history(spark, lake.schema_file(entity))
+        names = history[-1].names if history else names
+    schema = files.with_rescue(StructType([StructField(n, StringType()) for n in names]))
+    rows = tables.read_path(spark, lake.bronze(entity), lake.fmt, schema if lake.fmt == "parquet" else None)
+    return files.conform(rows, schema)
 
 
 def refine(

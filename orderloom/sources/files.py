@@ -51,7 +51,7 @@ def csv_stream(
 
 def csv_table(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     schema: StructType | None = None,
     multiline: bool = False,
     rescue: bool = False,

@@ -499,15 +499,15 @@ for _table, _column in (
 
 
 def amount(column: str) -> str:
-    return f"cast(sum(cast({column} as decimal(38,15))) as double)"
+    return f"cast(sum(cast(cast({column} as varchar) as decimal(38,15))) as double)"
 
 
 def amount2(column: str) -> str:
-    return f"cast(round(sum(cast({column} as decimal(38,15))), 2) as double)"
+    return f"cast(round(sum(cast(cast({column} as varchar) as decimal(38,15))), 2) as double)"
 
 
 def mean2(column: str) -> str:
-    exact = f"cast(sum(cast({column} as decimal(38,15))) as decimal(38,12)) / count({column})"
+    exact = f"cast(sum(cast(cast({column} as varchar) as decimal(38,15))) as decimal(38,12)) / count({column})"
     return f"cast(round(cast({exact} as decimal(28,10)), 2) as double)"
 
 
@@ -637,6 +637,21 @@ oracle(
     " from fx_sellers union all select customer_id, customer_zip_code_prefix, customer_city, customer_state,"
     " customer_unique_id from fx_customers",
 )
+oracle("src2_split_csv", "select *, cast(null as varchar) as _rescued_data from fx_order_reviews")
+oracle(
+    "src3_ingest_drift",
+    "select v.*, case when ascii(right(v.seller_id, 1)) % 3 = 2 then 'group ' || f.seller_state end as seller_group"
+    " from v_sellers v left join (select distinct seller_id, seller_state from fx_sellers) f on v.seller_id = f.seller_id",
+)
+oracle(
+    "src4_rescued_fields",
+    "select review_id, order_id, try_cast(review_score as double) as review_score, review_comment_title, review_comment_message,"
+    " try_cast(review_creation_date as timestamp) as review_creation_date, try_cast(review_answer_timestamp as timestamp) as review_answer_timestamp,"
+    + ", ".join(f"case when try_cast({c} as {t}) is null then {c} end as lost_{c}" for c, t in (("review_score", "double"), ("review_creation_date", "timestamp"), ("review_answer_timestamp", "timestamp")))
+    + ", case when (review_score is not null and try_cast(review_score as double) is null)"
+    " or (review_creation_date is not null and try_cast(review_creation_date as timestamp) is null)"
+    " or (review_answer_timestamp is not null and try_cast(review_answer_timestamp as timestamp) is null) then true end as lost_in from fx_order_reviews",
+)
 oracle(
     "src4_rescued_data",
     "select review_id, order_id, try_cast(review_score as double) as review_score,"

@@ -18,7 +18,7 @@ from orderloom.operators.joins import join_one_per_key
 from orderloom.plans import batch, gold, kpi, silver
 from orderloom.plans.contracts import CONTRACTS, PRODUCT_DIMENSIONS, SELLER_STATES
 from orderloom.schemas import EVENT_SCHEMAS, WIDE_EVENT_SCHEMAS
-from orderloom.sources import events, files, tables
+from orderloom.sources import events, files, landing, tables
 from orderloom.streaming import cleaners, state, unify
 from orderloom.streaming import silver as stream_silver
 from orderloom.streaming.bronze import start_bronze
@@ -118,9 +118,12 @@ QUERIES["profile_distinct_payments_accepted_type"] = lambda spark, sf: profile.d
 # --- sources --------------------------------------------------------------------------------------
 
 
+CSV_AS_IS = {"header": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
 def _land_csv(df: DataFrame, path: str, multiline: bool = False) -> str:
     """Write a raw landing folder, spaces and NULLs intact."""
-    options = {"header": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    options = dict(CSV_AS_IS)
     if multiline:
         options |= {"quote": '"', "escape": '"'}
     df.write.options(**options).csv(path)
@@ -141,7 +144,7 @@ def _ingested(spark: SparkSession, sf_dir: str, entity: str, runs: int = 1) -> D
     _land_csv(raw(spark, sf_dir, entity), lake.raw(entity), entity in batch.MULTILINE_ENTITIES)
     for _ in range(runs):
         batch.ingest(spark, lake, [entity])
-    return tables.read_path(spark, lake.bronze(entity))
+    return batch.bronze(spark, lake, entity)
 
 
 @query
@@ -176,6 +179,64 @@ def src3_schema_drift(spark, sf_dir):
     return spark.read.schema(resolved.schema).parquet(lake.bronze("sellers"))
 
 
+def _small_splits(spark: SparkSession, df: Callable[[], DataFrame], path: str) -> DataFrame:
+    """df, planned and written while files are read in splits of 64 KiB."""
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "65536")
+    try:
+        return tables.read_path(spark, _land(df(), path))
+    finally:
+        spark.conf.set(key, before)
+
+
+@query
+def src2_split_csv(spark, sf_dir):
+    """One file with line breaks in its fields, read in many splits."""
+    root = scratch_root(spark)
+    folder = _land_csv(raw(spark, sf_dir, "order_reviews").repartition(1), f"{root}/reviews", multiline=True)
+
+    def read() -> DataFrame:
+        (layout,) = landing.layouts(spark, [folder])
+        return landing.read_layout(spark, layout, multiline=True)
+
+    return _small_splits(spark, read, f"{root}/records")
+
+
+@query
+def src3_ingest_drift(spark, sf_dir):
+    """One folder with three layouts, one of them reordered, through ingestion and the whole run: silver sellers and what else the files brought."""
+    lake = _lake(spark)
+    for entity in CONTRACTS:
+        if entity != "sellers":
+            _land_csv(raw(spark, sf_dir, entity), lake.raw(entity), entity in batch.MULTILINE_ENTITIES)
+    sellers = raw(spark, sf_dir, "sellers")
+    third = F.ascii(F.right("seller_id", F.lit(1))) % 3
+    group = F.concat(F.lit("group "), "seller_state").alias("seller_group")
+    deliveries = {
+        0: sellers.filter(third == 0),
+        1: sellers.filter(third == 1).select("seller_state", "seller_id", "seller_zip_code_prefix", "seller_city"),
+        2: sellers.filter(third == 2).select("seller_id", group, "seller_zip_code_prefix", "seller_city", "seller_state"),
+    }
+    for rows in deliveries.values():
+        rows.write.mode("append").options(**CSV_AS_IS).csv(lake.raw("sellers"))
+    batch.run_batch(spark, lake, "r1")
+    brought = batch.bronze(spark, lake, "sellers", every_column=True).select("seller_id", "seller_group").distinct()
+    return batch.silver_rows(spark, lake, "sellers").join(brought, "seller_id", "left")
+
+
+@query
+def src4_rescued_fields(spark, sf_dir):
+    """Every field of the reviews by its type; what doesn't fit is kept by field."""
+    folder = _land_csv(raw(spark, sf_dir, "order_reviews"), f"{scratch_root(spark)}/reviews", multiline=True)
+    (layout,) = landing.layouts(spark, [folder])
+    types = {"review_score": "double", "review_creation_date": "timestamp", "review_answer_timestamp": "timestamp"}
+    found = landing.rescue_fields(landing.read_layout(spark, layout, multiline=True, with_path=True), types)
+    lost = F.from_json(files.RESCUED, "review_score string, review_creation_date string, review_answer_timestamp string, _file_path string")
+    shown = found.withColumn("lost", lost).withColumns({f"lost_{c}": F.col(f"lost.{c}") for c in types})
+    return shown.withColumn("lost_in", F.col("lost._file_path").contains("/reviews/")).drop("lost", files.RESCUED)
+
+
 @query
 def src4_rescued_data(spark, sf_dir):
     """Scores that are not numbers leave the record in the rescue column."""
