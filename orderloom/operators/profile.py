@@ -1,12 +1,12 @@
-"""Column and row profiles. Each is one pass with map-side aggregation."""
+"""Column and row profiles. Each is one pass with map-side aggregation, or no pass beside the write that it observes."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from orderloom.functions.text import is_untrimmed
@@ -56,3 +56,20 @@ def violations(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
         for i, rule in enumerate(rules)
     ]
     return counted.select(F.inline(F.array(*lines)))
+
+
+#: A line of a run's ledger.
+LEDGER = "table_name string, side string, row_count long, null_counts map<string,long>"
+
+
+def observed(df: DataFrame) -> tuple[DataFrame, Callable[[], tuple[int, dict[str, int]]]]:
+    """``df`` that is counted while something else runs over it, and a function that gives rows and NULLs by column afterwards."""
+    seen = Observation()
+    names = {f"n{i}": c for i, c in enumerate(df.columns)}
+    counts = [F.count_if(F.col(f"`{c}`").isNull()).alias(n) for n, c in names.items()]
+
+    def found() -> tuple[int, dict[str, int]]:
+        got = seen.get
+        return got["rows"], {c: got[n] for n, c in names.items()}
+
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *counts), found

@@ -11,10 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
 from orderloom.lake import Lake
-from orderloom.plans import gold, kpi, silver
+from orderloom.operators import profile
+from orderloom.plans import corrections, gold, kpi, silver
 from orderloom.schemas import ENTITIES, EVENT_SCHEMAS, MULTILINE_ENTITIES, raw_schema
 from orderloom.sources import files, landing, tables
 from orderloom.streaming.silver import running_query, write_batch
+from orderloom.streaming.state import read_history
 from orderloom.streaming.unify import BATCH_TABLE, unify
 
 
@@ -66,17 +68,24 @@ def refine(
 ) -> None:
     """Rewrite one silver table and add this run's rejected rows to its quarantine.
 
+    Corrected rows are part of what is cleaned, see :mod:`orderloom.plans.corrections`. While both are written their rows and NULLs are counted;
+    the counts are the run's lines in ``ledger/<entity>``.
+
     With ``tolerant`` rows whose text does not parse go to ``quarantine/<entity>_unparsed`` instead of
     failing the run.
     """
-    raw = bronze(spark, lake, entity)
+    raw = corrections.corrected(spark, lake, entity, bronze(spark, lake, entity))
     if tolerant:
         readable = silver.split_unparsable(raw, entity)
         tables.write_run(readable.rejected, lake.quarantine(f"{entity}_unparsed"), run_id, lake.fmt)
         raw = readable.valid
     cleaned = silver.clean(raw, entity, strict=strict)
-    tables.write_run(cleaned.rejected, lake.quarantine(entity), run_id, lake.fmt)
-    tables.overwrite(cleaned.valid, lake.silver(entity), lake.fmt)
+    rejected, counts_rejected = profile.observed(cleaned.rejected)
+    valid, counts_valid = profile.observed(cleaned.valid)
+    tables.write_run(rejected, lake.quarantine(entity), run_id, lake.fmt)
+    tables.overwrite(valid, lake.silver(entity), lake.fmt)
+    lines = [(entity, side, *counts()) for side, counts in (("valid", counts_valid), ("rejected", counts_rejected))]
+    tables.write_run(spark.createDataFrame(lines, profile.LEDGER).coalesce(1), lake.path("ledger", entity), run_id, lake.fmt)
 
 
 def silver_rows(spark: SparkSession, lake: Lake, name: str, with_streams: bool = False) -> DataFrame:
@@ -86,7 +95,7 @@ def silver_rows(spark: SparkSession, lake: Lake, name: str, with_streams: bool =
     path = lake.path("stream_silver", streamed) if streamed else ""
     if not with_streams or not streamed or not tables.exists(spark, path):
         return rows
-    return unify(rows, tables.read_path(spark, path, lake.fmt), streamed)
+    return unify(rows, read_history(spark, path, lake.fmt), streamed)
 
 
 def publish_gold(spark: SparkSession, lake: Lake, table: str, with_streams: bool = False) -> None:
@@ -120,11 +129,13 @@ def register(spark: SparkSession, lake: Lake, prefix: str = "") -> None:
         "gold": (tuple(gold.TABLES), lake.gold),
         **{layer: (tuple(EVENT_SCHEMAS), partial(lake.path, layer)) for layer in ("stream_bronze", "stream_silver", "stream_quarantine")},
     }
+    batches = dict.fromkeys(("bronze", "stream_silver", "stream_quarantine"), tables.BATCH_PARTS)
+    parts = {"quarantine": tables.RUN_PARTS, **batches}
     for layer, (names, path) in layers.items():
         tables.create_schema(spark, f"{prefix}{layer}")
         for name in names:
             if tables.exists(spark, path(name)):
-                tables.register(spark, f"{prefix}{layer}.{name}", path(name), lake.fmt, layer == "quarantine")
+                tables.register(spark, f"{prefix}{layer}.{name}", path(name), lake.fmt, parts.get(layer))
 
 
 def each(spark: SparkSession, names: Iterable[str], step: Callable[[str], None], concurrent: int = 4) -> None:

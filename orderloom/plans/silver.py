@@ -73,6 +73,21 @@ def clean(raw: DataFrame, table: str, as_of: Column | None = None, strict: bool
     return Cleaned(valid, rejected)
 
 
+def judged(raw: DataFrame, table: str, carry: list[str]) -> DataFrame:
+    """Raw rows that carry a key of their own: ``kept`` says whether the contract keeps the row, judged without its copies.
+
+    Text that doesn't parse is not kept.
+    """
+    terms = contract(table)
+    readable = split_unparsable(raw, table).valid if terms.casts and not terms.try_casts else raw
+    df = null_policy(typed(readable, terms), terms.fill, terms.require)
+    df = _apply(df, terms.standardise)
+    if terms.discard_unless is not None:
+        df = df.filter(terms.discard_unless)
+    df = terms.enrich(df) if terms.enrich else df
+    return df.select(*carry, F.coalesce(terms.keep, F.lit(False)).alias("kept"))
+
+
 def split_unparsable(raw: DataFrame, table: str, as_of: Column | None = None) -> Cleaned:
     """Raw rows that the contract's strict casts accept, and the others as they arrived, with reasons.
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from urllib.parse import quote
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,8 +62,8 @@ def overwrite(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     df.write.format(fmt).save(new)
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     files = hadoop(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if files.exists(hadoop(path)):
-        files.rename(hadoop(path), hadoop(old))
+    if files.exists(hadoop(path)) and not files.rename(hadoop(path), hadoop(old)):
+        raise OSError(f"{path} could not be set aside; the new rows are in {new}")
     if not files.rename(hadoop(new), hadoop(path)):
         raise OSError(f"{new} could not take the place of {path}; the former rows are in {old}")
     files.delete(hadoop(old), True)
@@ -74,18 +74,25 @@ def append(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     df.write.format(fmt).mode("append").save(path)
 
 
+def partition_text(spark: SparkSession, value: str) -> str:
+    """A partition value as Spark writes it into a folder's name, and so as it reads it back."""
+    return spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)
+
+
 def write_run(df: DataFrame, path: str, run_id: str, fmt: str = "parquet") -> None:
     """Add one run's rows to a table that keeps history.
 
     A run owns the partition ``run_id``, so repeating the run replaces its rows instead of adding them
-    a second time.
+    a second time. Any text but the empty one is a run id.
     """
+    if not run_id:
+        raise ValueError("a run id must not be empty")
     if fmt == "delta":
         stamped = df.withColumn("run_id", F.lit(run_id))
         condition = f"run_id = {_text(run_id)}"
         stamped.write.format(fmt).mode("overwrite").option("replaceWhere", condition).partitionBy("run_id").save(path)
     else:
-        df.write.format(fmt).mode("overwrite").save(f"{path}/run_id={quote(run_id, safe=' ')}")
+        df.write.format(fmt).mode("overwrite").save(f"{path}/run_id={partition_text(df.sparkSession, run_id)}")
 
 
 def replace_table(df: DataFrame, name: str, path: str, fmt: str = "parquet") -> None:
@@ -97,20 +104,36 @@ def create_schema(spark: SparkSession, name: str, comment: str = "") -> None:
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {_name(name)} COMMENT {_text(comment)}")
 
 
-def register(spark: SparkSession, name: str, path: str, fmt: str = "parquet", history: bool = False) -> None:
+#: Folders of a table of micro-batches, see :func:`orderloom.streaming.silver.write_batch`, and of one of runs.
+BATCH_PARTS = {"writer": "string", "batch_id": "int"}
+RUN_PARTS = {"run_id": "string"}
+
+
+def register(spark: SparkSession, name: str, path: str, fmt: str = "parquet", parts: Mapping[str, str] | None = None) -> None:
     """Make existing files queryable by name; where the name exists, let it see the files as they are now.
 
-    ``history`` is for tables of :func:`write_run`: their partitions are looked up anew each time.
+    ``parts`` are the folders of a table that grows by folders, with their types: :data:`RUN_PARTS` or :data:`BATCH_PARTS`.
+    They are looked up anew each time; a writer that adds one folder may tell the catalog by :func:`add_part` instead.
     """
-    if history and fmt != "delta":
-        columns = ", ".join(f"{_name(f.name)} {f.dataType.simpleString()}" for f in _run_schema(spark, path, fmt).fields)
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {_name(name)} ({columns}) USING {fmt} PARTITIONED BY (run_id) LOCATION {_text(path)}")
+    if parts and fmt != "delta":
+        found = spark.read.format(fmt).option("recursiveFileLookup", "true").load(path).schema
+        columns = [f"{_name(f.name)} {f.dataType.simpleString()}" for f in found.fields if f.name not in parts]
+        columns += [f"{_name(c)} {kind}" for c, kind in parts.items()]
+        folders = ", ".join(map(_name, parts))
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {_name(name)} ({', '.join(columns)}) USING {fmt} PARTITIONED BY ({folders}) LOCATION {_text(path)}")
         spark.sql(f"ALTER TABLE {_name(name)} RECOVER PARTITIONS")
     else:
         spark.sql(f"CREATE TABLE IF NOT EXISTS {_name(name)} USING {fmt} LOCATION {_text(path)}")
     spark.catalog.refreshTable(name)
 
 
+def add_part(spark: SparkSession, name: str, values: Mapping[str, str | int]) -> None:
+    """Tell the catalog of one new folder of a table that :func:`register` knows by its parts; a known one is read anew."""
+    part = ", ".join(f"{_name(c)} = {v if isinstance(v, int) else _text(v)}" for c, v in values.items())
+    spark.sql(f"ALTER TABLE {_name(name)} ADD IF NOT EXISTS PARTITION ({part})")
+    spark.catalog.refreshTable(name)
+
+
 def list_tables(spark: SparkSession, schema: str) -> DataFrame:
     """Tables of a schema; the session's temporary views are left out."""
     return spark.sql(f"SHOW TABLES IN {_name(schema)}").filter("NOT isTemporary")
@@ -120,3 +143,15 @@ def exists(spark: SparkSession, path: str) -> bool:
     """Whether anything lies at a path of any store that Spark reads."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
+
+
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a pattern, in any store that Spark reads."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(hadoop)
+    return sorted(f.getPath().toString() for f in found or ())
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)

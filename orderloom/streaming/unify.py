@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from orderloom.functions.text import upper_code
 from orderloom.operators.dedupe import latest_per_key
 from orderloom.operators.joins import join_one_per_key
+from orderloom.streaming.state import COMMITTED
 
 # Event tables, the batch table each one extends, its key, and its code columns (lower case in events).
 BATCH_TABLE = {"orders": "orders", "items": "order_items", "payments": "order_payments"}
@@ -39,12 +40,12 @@ def unify(batch: DataFrame, events: DataFrame, table: str) -> DataFrame:
 
     The batch row wins because it carries every column; events only bridge the time until the next
     batch run. Events are first reduced to one row per key, or to distinct rows where the payload
-    lacks a key column. Of the batch table only distinct keys are compared, and the events of a hot key
+    lacks a key column; the newest by ``committed_at`` of :func:`state.read_history`, then by batch. Of the batch table only distinct keys are compared, and the events of a hot key
     are spread over several tasks.
     """
     keys = [k for k in KEYS[table] if k in events.columns]
     rows = events
     if len(keys) == len(KEYS[table]):
-        rows = latest_per_key(events, keys, [c for c in ("batch_id",) if c in events.columns])
+        rows = latest_per_key(events, keys, [c for c in (COMMITTED, "batch_id") if c in events.columns])
     fresh = join_one_per_key(as_batch_rows(rows, table, batch).distinct(), batch.select(*keys).distinct(), keys, "left_anti")
     return batch.unionByName(fresh)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 
+from orderloom.schemas import RAW_COLUMNS
 from testbed.fixtures import ENTITY, EVENTS, SQL
 
 AS_OF = "TIMESTAMP '2024-01-05 12:00:00'"
@@ -947,7 +948,7 @@ for _name, _part in (("year", "year"), ("quarter", "quarter"), ("month", "month"
 function("fn_month_name", "orders", "order_id", f"monthname({PURCHASED}) as result")
 function("fn_day_name", "orders", "order_id", f"dayname({PURCHASED}) as result")
 function("fn_is_weekend", "orders", "order_id", f"coalesce(dayofweek({PURCHASED}) in (0, 6), false) as result")
-function("fn_current_timestamp", "sellers", "seller_id", "current_timestamp is not null as is_stamped")
+function("fn_current_timestamp", "sellers", "seller_id", "abs(epoch(current_timestamp) - epoch(get_current_timestamp())) < 3600 as is_stamped")
 function(
     "fn_round2",
     "order_items",
@@ -994,7 +995,7 @@ oracle("fn_to_json", f"select {SELLER_JSON} as Body from fx_sellers")
 oracle("dq1_cast_contract", "select * from t_order_items")
 oracle(
     "dq1_try_cast_contract",
-    "select review_id, order_id, try_cast(review_score as double) as review_score, review_comment_title,"
+    "select review_id, order_id, try_cast(review_score as double) as review_score, review_comment_title, review_comment_message,"
     " try_cast(review_creation_date as timestamp) as review_creation_date,"
     " try_cast(review_answer_timestamp as timestamp) as review_answer_timestamp from fx_order_reviews",
 )
@@ -1093,15 +1094,14 @@ _orders = quarantined(
     "partition by order_id order by customer_id nulls last, order_status nulls last, order_purchase_timestamp nulls last",
     [_absent("order_id"), _absent("customer_id"), _absent("order_purchase_timestamp")],
 )
-oracle("x1_stream_quarantine", f"select * replace (trim(lower(order_status)) as order_status) from ({_orders})")
-oracle(
-    "x1_stream_quarantine_items",
-    quarantined(
-        "items",
-        "partition by order_id, order_item_id order by price nulls last, freight_value nulls last",
-        [_absent("order_id"), _below("price"), _below("freight_value")],
-    ),
+X1_ORDERS = f"select * replace (trim(lower(order_status)) as order_status) from ({_orders})"
+X1_ITEMS = quarantined(
+    "items",
+    "partition by order_id, order_item_id order by price nulls last, freight_value nulls last",
+    [_absent("order_id"), _below("price"), _below("freight_value")],
 )
+oracle("x1_stream_quarantine", X1_ORDERS)
+oracle("x1_stream_quarantine_items", X1_ITEMS)
 _payments = quarantined(
     "payments",
     "partition by order_id, payment_type, payment_installments, payment_value order by order_id",
@@ -1113,6 +1113,24 @@ oracle(
     "select * replace (case when order_approved_at is null then 'CLOSED' else order_status end as order_status),"
     " cast(case when order_approved_at is null then 1 else 0 end as integer) as batch_id from v_orders",
 )
+oracle(
+    "x2_two_writers",
+    "select * replace (case when order_approved_at is null then 'CLOSED' else order_status end as order_status),"
+    " case when order_approved_at is null then 'new checkpoint' else 'old checkpoint' end as writer,"
+    " cast(case when order_approved_at is null then 0 else 5 end as integer) as batch_id from v_orders",
+)
+oracle(
+    "x3_two_writers",
+    "select * from v_orders where order_id < '8'"
+    " union all select * replace ('NEW' as order_status) from v_orders where order_id >= '8'",
+)
+oracle(
+    "x7_stream_restart",
+    "select * from e_orders union all"
+    " select * replace (order_purchase_timestamp + interval 60 days as order_purchase_timestamp) from e_orders",
+)
+oracle("snk8_stream_by_name", "select * from e_items")
+ORACLES["snk8_stream_quarantine_by_name"] = ORACLES["x1_stream_quarantine_items"]
 oracle(
     "x3_shared_gold",
     "select * from v_orders union all select order_id, customer_id, upper(trim(order_status)),"
@@ -1151,6 +1169,16 @@ oracle(
     " on p.order_id = o.order_id",
 )
 ORACLES["run_both_fact_payments"] = ORACLES["x3_shared_fact_payments"]
+cte("w_items", """select * exclude (n) from (select *, row_number() over (partition by order_id, order_item_id order by
+ price nulls last, freight_value nulls last, product_id nulls last, seller_id nulls last, shipping_limit_date nulls last) as n
+ from t_order_items) where n = 1 and order_id is not null and price >= 0 and freight_value >= 0""")
+cte("w_both_items", """select order_id, order_item_id, product_id, seller_id, price, freight_value from v_order_items where order_id < '8' union all
+ select order_id, order_item_id, product_id, seller_id, price, freight_value from w_items w where not exists (select 1 from v_order_items v
+ where v.order_id < '8' and v.order_id = w.order_id and v.order_item_id = w.order_item_id)""")
+cte("w_both_orders", """select order_id, customer_id, order_purchase_timestamp from v_orders where order_id < '8' union all
+ select order_id, customer_id, order_purchase_timestamp from w_orders w where not exists (select 1 from v_orders v
+ where v.order_id < '8' and v.order_id = w.order_id)""")
+ORACLES["run_both_fact_orders"] = statement(CTES["g_fact_orders"].replace("v_order_items", "w_both_items").replace("v_orders", "w_both_orders"))
 _dims = ("product_weight_g", "product_length_cm", "product_height_cm", "product_width_cm")
 oracle(
     "x5_impute_dimensions",
@@ -1168,6 +1196,35 @@ oracle(
     " and geolocation_lng between -180 and 180 and not regexp_matches(geolocation_city, '^[0-9]+$')"
     " and trim(geolocation_city) <> '' and trim(geolocation_state) <> ''",
 )
+oracle(
+    "x6_after_next_run",
+    "select geolocation_zip_code_prefix, geolocation_lat, geolocation_lng, geolocation_city, geolocation_state from v_geolocation union all "
+    "select distinct abs(geolocation_zip_code_prefix), geolocation_lat, geolocation_lng,"
+    " geolocation_city, geolocation_state from q_geolocation where geolocation_lat between -90 and 90"
+    " and geolocation_lng between -180 and 180 and not regexp_matches(geolocation_city, '^[0-9]+$')"
+    " and trim(geolocation_city) <> '' and trim(geolocation_state) <> ''",
+)
+oracle(
+    "x6_stream_bodies",
+    "select * from e_orders union all select order_id, customer_id, order_status, timestamp '2024-01-01 00:00:00' from"
+    f" ({X1_ORDERS}) where order_purchase_timestamp is null and order_id is not null and customer_id is not null",
+)
+oracle(
+    "dq10_write_pass",
+    " union all ".join(
+        f"select '{t}' as table_name, count(*) as row_count, count(*) * {len(RAW_COLUMNS[t])} - ({' + '.join(f'count({c})' for c in RAW_COLUMNS[t])}) as null_count, 'r1' as run_id from v_{t}"
+        f" union all select '{t} rejected', count(*), null, 'r1' from q_{t}"
+        for t in ENTITY
+    ),
+)
+oracle(
+    "str9_supervised",
+    " union all ".join(
+        f"select '{t}' as event_table, cast((select count(*) from fx_stream_{t}) as bigint) as rows_in, cast((select count(*) from e_{t}) as bigint) as kept_rows,"
+        f" cast((select count(*) from ({x})) as bigint) as rejected_rows"
+        for t, x in (("orders", X1_ORDERS), ("items", X1_ITEMS), ("payments", _payments))
+    ),
+)
 oracle(
     "x7_cross_batch_dedupe",
     "select distinct order_id from p_orders where try_strptime(order_purchase_timestamp, '%Y-%m-%d %H:%M:%S')"

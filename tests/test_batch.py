@@ -98,6 +98,18 @@ def test_an_overwrite_that_fails_leaves_the_old_rows(spark, tmp_path):
     assert rows(tables.read_path(spark, path)) == [(0,), (1,), (2,)]
 
 
+@pytest.mark.parametrize("run_id", ["été", "a/b=c%20d", "it's", "007", " x "])
+def test_run_ids_come_back_as_given(spark, tmp_path, run_id):
+    for rows_ in (3, 2):
+        tables.write_run(spark.range(rows_), f"{tmp_path}/q", run_id)
+    assert {tuple(r) for r in tables.read_runs(spark, f"{tmp_path}/q").collect()} == {(0, run_id), (1, run_id)}
+
+
+def test_an_empty_run_id_is_refused(spark, tmp_path):
+    with pytest.raises(ValueError, match="empty"):
+        tables.write_run(spark.range(1), f"{tmp_path}/q", "")
+
+
 def test_scratch_root_is_in_a_shared_folder(spark):
     from orderloom import scratch_root
 

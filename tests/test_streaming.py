@@ -12,7 +12,7 @@ from orderloom.sources import events
 from orderloom.streaming import cleaners, state, unify
 from orderloom.streaming import silver as stream_silver
 from orderloom.streaming.bronze import start_bronze
-from tests.helpers import rows
+from tests.helpers import plan, rows
 
 
 def _bodies(spark, *messages):
@@ -175,6 +175,74 @@ def test_newest_version_and_compaction(spark, tmp_path):
     assert rows(state.compacted(spark, f"{tmp_path}/current"), "order_id", "order_status") == expected
 
 
+def _version(spark, path, batch_id, writer, *pairs):
+    df = spark.createDataFrame(list(pairs), "order_id string, order_status string")
+    stream_silver.write_batch(df, path, batch_id, writer=writer)
+
+
+def test_a_new_checkpoint_wins_and_history_is_pruned(spark, tmp_path):
+    history, current = f"{tmp_path}/history", f"{tmp_path}/current"
+    _version(spark, history, 5, "a", ("o1", "old"), *((f"x{i}", "old") for i in range(200)))
+    state.compact(spark, history, current, ["order_id"], buckets=16)
+    files = {str(f) for f in (tmp_path / "current").rglob("*.parquet")}
+    _version(spark, history, 0, "b", ("o1", "new"))
+    state.compact(spark, history, current, ["order_id"])
+    now = state.compacted(spark, current)
+    assert now.filter("order_id = 'o1'").first().order_status == "new" and now.count() == 201
+    # one bucket was touched: the files of the fifteen others are still those that are read
+    after = {f.removeprefix("file://") for f in now.inputFiles()}
+    assert len(after & files) == 15 and len(after - files) == 1
+    gone = state.retire(spark, current)
+    assert len(gone) == 1 and state.compacted(spark, current).count() == 201
+    found = state.manifest(spark, current)
+    assert (found.marks, found.count) == ({"a": 5, "b": 0}, 16)
+    text = plan(state.read_history(spark, history).filter(state.unseen(found.marks)))
+    assert "PartitionFilters: [" in text and "PartitionFilters: []" not in text
+    state.compact(spark, history, current, ["order_id"])
+    assert state.manifest(spark, current).version == 1  # nothing new, nothing written
+    _version(spark, history, 6, "a", ("o1", "last"))
+    state.compact(spark, history, current, ["order_id"])
+    assert state.compacted(spark, current).filter("order_id = 'o1'").first().order_status == "last"
+
+
+def test_an_unfinished_compaction_is_not_seen(spark, tmp_path):
+    history, current = f"{tmp_path}/history", f"{tmp_path}/current"
+    _version(spark, history, 0, "a", ("o1", "first"))
+    state.compact(spark, history, current, ["order_id"])
+    (tmp_path / "current" / "_manifests" / "1").mkdir()
+    assert rows(state.compacted(spark, current), "order_status") == [("first",)]
+    _version(spark, history, 1, "a", ("o1", "second"))
+    state.compact(spark, history, current, ["order_id"])
+    assert rows(state.compacted(spark, current), "order_status") == [("second",)]
+
+
+def test_unify_orders_versions_across_writers(spark, tmp_path):
+    _version(spark, f"{tmp_path}/h", 500, "a", ("o1", "old"))
+    _version(spark, f"{tmp_path}/h", 0, "b", ("o1", "new"))
+    batch = spark.createDataFrame([("o0", "KEPT")], "order_id string, order_status string")
+    found = unify.unify(batch, state.read_history(spark, f"{tmp_path}/h"), "orders")
+    assert rows(found, "order_id", "order_status") == [("o0", "KEPT"), ("o1", "NEW")]
+
+
+def test_copies_within_reach_go_across_batches_and_writers(spark, tmp_path):
+    unique = state.Unique(("k",), "at", 7, f"{tmp_path}/digest")
+
+    def batch(writer, batch_id, *pairs):
+        df = spark.createDataFrame([(k, at) for k, at in pairs], "k string, at string").withColumn("at", F.col("at").cast("timestamp"))
+        fresh = unique.fresh(df, writer, batch_id)
+        out = rows(fresh.select("k", F.col("at").cast("string")))
+        unique.remember(fresh, writer, batch_id)
+        return out
+
+    assert len(batch("a", 0, ("x", "2024-01-28 10:00:00"), ("y", "2024-01-28"), (None, "2024-01-28"), ("z", None))) == 4
+    assert batch("a", 0, ("x", "2024-01-28 10:00:00")) == [("x", "2024-01-28 10:00:00")]  # repeated: it doesn't meet itself
+    again = batch("b", 0, ("x", "2024-02-04 10:00:00"), ("x", "2024-02-04 10:00:01"), ("x", "2024-01-20"), (None, "2024-01-28"), ("w", "2024-01-01"))
+    assert [k for k, _ in again] == [None, "w", "x", "x"] and ("x", "2024-02-04 10:00:00") not in again
+    assert batch("b", 1, ("x", "2024-02-11"), (None, None)) == [(None, None)]
+    assert [p.rsplit("/", 1)[1] for p in unique.forget(spark, "2024-02-15")] == ["month=2024-01-01"]
+    assert batch("c", 0, ("w", "2024-01-01")) == [("w", "2024-01-01 00:00:00")]
+
+
 def test_unify_keeps_batch_rows_and_adds_new_orders(spark):
     batch = spark.createDataFrame(
         [("o1", "c1", "DELIVERED"), ("o1", "c1", "SHIPPED")], "order_id string, customer_id string, order_status string"
