@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Mapping
 
@@ -13,9 +14,9 @@ from pyspark.sql.types import StringType, StructField, StructType
 def read_path(
     spark: SparkSession, path: str, fmt: str = "parquet", schema: StructType | None = None
 ) -> DataFrame:
-    """A table by path. A known ``schema`` saves the job that reads it from file footers."""
+    """A table by path, in its current version. A known ``schema`` saves the job that reads it from file footers."""
     reader = spark.read.format(fmt)
-    return (reader.schema(schema) if schema is not None else reader).load(path)
+    return (reader.schema(schema) if schema is not None else reader).load(path if fmt == "delta" else current(spark, path))
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
@@ -44,30 +45,64 @@ def read_runs(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame
 
 def query_path(spark: SparkSession, path: str, columns: str = "*", fmt: str = "parquet") -> DataFrame:
     """SQL straight over files."""
-    return spark.sql(f"SELECT {columns} FROM {fmt}.`{path}`")
+    return spark.sql(f"SELECT {columns} FROM {fmt}.`{path if fmt == 'delta' else current(spark, path)}`")
 
 
-def overwrite(df: DataFrame, path: str, fmt: str = "parquet") -> None:
+#: How long a replaced version's files stay for those who are still reading them, in seconds.
+RETIRE_AFTER = 24 * 3600.0
+_POINTERS = "_current"
+
+
+def _filesystem(spark: SparkSession, path: str):
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop
+
+
+def _pointers(spark: SparkSession, path: str) -> list[tuple[int, str, float]]:
+    """(number, version folder, when it became current, in seconds), oldest first. Names say all: nothing is read but a listing."""
+    files, pattern = _filesystem(spark, f"{path.rstrip('/')}/{_POINTERS}/*.*")
+    found = [(f.getPath().getName(), f.getModificationTime() / 1000) for f in files.globStatus(pattern) or ()]
+    return sorted((int(name.split(".")[0]), name.split(".", 1)[1], at) for name, at in found)
+
+
+def current(spark: SparkSession, path: str) -> str:
+    """Where a table's files lie: the version that :func:`overwrite` made current, or the path itself."""
+    versions = _pointers(spark, path)
+    return f"{path.rstrip('/')}/{versions[-1][1]}" if versions else path
+
+
+def overwrite(df: DataFrame, path: str, fmt: str = "parquet", retire_after: float = RETIRE_AFTER) -> None:
     """Replace a table's rows.
 
-    Parquet files are written beside the table and take its place when they are complete: a write that
-    fails leaves the old rows, and ``df`` may read the table that it replaces.
+    Parquet files are written as a version of their own below the path; when they are complete, one new empty file, whose name says
+    number and folder, makes them current. No file is moved or copied, on an object store either. Whoever reads by :func:`read_path`
+    sees the old rows whole or the new ones whole; a write that fails leaves the old ones, and ``df`` may read the table that it
+    replaces. Versions that were replaced ``retire_after`` seconds ago or more are deleted.
     """
     if fmt == "delta":
         df.write.format(fmt).mode("overwrite").save(path)
         return
-    path = path.rstrip("/")
-    spark, run = df.sparkSession, uuid.uuid4().hex[:12]
-    new, old = f"{path}__new_{run}", f"{path}__old_{run}"
-    df.write.format(fmt).save(new)
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    files = hadoop(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if files.exists(hadoop(path)) and not files.rename(hadoop(path), hadoop(old)):
-        raise OSError(f"{path} could not be set aside; the new rows are in {new}")
-    if not files.rename(hadoop(new), hadoop(path)):
-        raise OSError(f"{new} could not take the place of {path}; the former rows are in {old}")
-    files.delete(hadoop(old), True)
-    spark.catalog.refreshByPath(path)
+    path, spark = path.rstrip("/"), df.sparkSession
+    known = _pointers(spark, path)
+    number = known[-1][0] + 1 if known else 0
+    folder = f"version-{number}-{uuid.uuid4().hex[:12]}"
+    df.write.format(fmt).save(f"{path}/{folder}")
+    files, pointer = _filesystem(spark, f"{path}/{_POINTERS}/{number}.{folder}")
+    if not files.createNewFile(pointer):
+        raise OSError(f"{pointer} could not be made; the table is as before, the new rows are in {path}/{folder}")
+    retire(spark, path, retire_after)
+
+
+def retire(spark: SparkSession, path: str, older_than: float = RETIRE_AFTER) -> list[str]:
+    """Delete the versions of a table that were replaced so many seconds ago or more; the current one stays. Returns their folders."""
+    versions, gone = _pointers(spark, path), []
+    now = time.time()
+    for (number, folder, _), (_, _, replaced) in zip(versions, versions[1:], strict=False):
+        if now - replaced >= older_than:
+            delete(spark, f"{path.rstrip('/')}/{folder}")
+            delete(spark, f"{path.rstrip('/')}/{_POINTERS}/{number}.{folder}")
+            gone.append(folder)
+    return gone
 
 
 def append(df: DataFrame, path: str, fmt: str = "parquet") -> None:
@@ -95,9 +130,20 @@ def write_run(df: DataFrame, path: str, run_id: str, fmt: str = "parquet") -> No
         df.write.format(fmt).mode("overwrite").save(f"{path}/run_id={partition_text(df.sparkSession, run_id)}")
 
 
-def replace_table(df: DataFrame, name: str, path: str, fmt: str = "parquet") -> None:
-    """Create or replace a named table from a query, its files at ``path``."""
-    df.write.format(fmt).mode("overwrite").option("path", path).saveAsTable(name)
+def replace_table(df: DataFrame, name: str, path: str, fmt: str = "parquet", retire_after: float = RETIRE_AFTER) -> None:
+    """Create or replace a named table from a query, its files below ``path``.
+
+    The new version is written whole, then the catalog is told of it in one statement: a query by name sees the old rows or the new
+    ones. Where the columns change the name is dropped and made again; for that moment it is unknown.
+    """
+    spark = df.sparkSession
+    if fmt == "delta":
+        df.write.format(fmt).mode("overwrite").option("path", path).saveAsTable(name)
+        return
+    overwrite(df, path, fmt, retire_after)
+    if spark.catalog.tableExists(name) and [(f.name, f.dataType) for f in spark.table(name).schema] != [(f.name, f.dataType) for f in df.schema]:
+        spark.sql(f"DROP TABLE {_name(name)}")
+    register(spark, name, path, fmt)
 
 
 def create_schema(spark: SparkSession, name: str, comment: str = "") -> None:
@@ -122,8 +168,12 @@ def register(spark: SparkSession, name: str, path: str, fmt: str = "parquet", pa
         folders = ", ".join(map(_name, parts))
         spark.sql(f"CREATE TABLE IF NOT EXISTS {_name(name)} ({', '.join(columns)}) USING {fmt} PARTITIONED BY ({folders}) LOCATION {_text(path)}")
         spark.sql(f"ALTER TABLE {_name(name)} RECOVER PARTITIONS")
-    else:
+    elif fmt == "delta":
         spark.sql(f"CREATE TABLE IF NOT EXISTS {_name(name)} USING {fmt} LOCATION {_text(path)}")
+    else:
+        place = _text(current(spark, path))
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {_name(name)} USING {fmt} LOCATION {place}")
+        spark.sql(f"ALTER TABLE {_name(name)} SET LOCATION {place}")
     spark.catalog.refreshTable(name)
 
 

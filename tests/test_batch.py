@@ -110,6 +110,59 @@ def test_an_empty_run_id_is_refused(spark, tmp_path):
         tables.write_run(spark.range(1), f"{tmp_path}/q", "")
 
 
+def test_readers_see_whole_versions(spark, tmp_path, monkeypatch):
+    path = f"{tmp_path}/t"
+    tables.overwrite(spark.range(10), path)
+    begun = tables.read_path(spark, path)
+    seen = []
+    switch = tables._filesystem
+
+    def between(session, at):  # the new files are complete and not yet current
+        if "/_current/1." in at:
+            seen.append(tables.read_path(session, path).count())
+        return switch(session, at)
+
+    monkeypatch.setattr(tables, "_filesystem", between)
+    tables.overwrite(spark.range(3), path)
+    assert seen == [10]
+    assert (tables.read_path(spark, path).count(), begun.count()) == (3, 10)  # who had begun goes on
+    assert len(tables.retire(spark, path, 0)) == 1
+    assert tables.read_path(spark, path).count() == 3 and tables.retire(spark, path, 0) == []
+
+
+def test_a_switch_that_fails_leaves_the_old_version(spark, tmp_path, monkeypatch):
+    path = f"{tmp_path}/t"
+    tables.overwrite(spark.range(10), path)
+
+    class Refusing:
+        def createNewFile(self, pointer):
+            return False
+
+    switch = tables._filesystem
+    monkeypatch.setattr(tables, "_filesystem", lambda session, at: (Refusing(), at) if "/_current/1." in at else switch(session, at))
+    with pytest.raises(OSError, match="as before"):
+        tables.overwrite(spark.range(3), path)
+    monkeypatch.undo()
+    assert tables.read_path(spark, path).count() == 10
+    tables.overwrite(spark.range(3), path)
+    assert tables.read_path(spark, path).count() == 3
+
+
+def test_a_named_table_is_switched_in_the_catalog(spark, tmp_path):
+    spark.sql("CREATE SCHEMA IF NOT EXISTS switched")
+    path = f"{tmp_path}/t"
+    tables.replace_table(spark.range(10), "switched.t", path)
+    assert spark.table("switched.t").count() == 10
+    tables.overwrite(spark.range(4), path)
+    assert spark.table("switched.t").count() == 10  # by name the old version, whole, until the catalog is told
+    tables.register(spark, "switched.t", path)
+    assert spark.table("switched.t").count() == 4
+    tables.replace_table(spark.table("switched.t").filter("id > 0"), "switched.t", path)
+    assert rows(spark.table("switched.t")) == [(1,), (2,), (3,)]
+    tables.replace_table(spark.range(2).selectExpr("id", "'x' as more"), "switched.t", path)
+    assert rows(spark.table("switched.t")) == [(0, "x"), (1, "x")]
+
+
 def test_scratch_root_is_in_a_shared_folder(spark):
     from orderloom import scratch_root
 
