@@ -11,6 +11,7 @@ from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 import regex
 
 #: The pattern that `matches` is written for.
@@ -33,28 +34,59 @@ def _kinds() -> np.ndarray:
 
 def matches(text: str) -> list[str]:
     """What findall of PATTERN gives."""
-    n = len(text)
-    if n < 2:
+    if len(text) < 2:
         return [text] if text else []
+    at = np.flatnonzero(_begins(text)[0]).tolist()
+    out = [text[a:b] for a, b in zip(at, at[1:])]
+    out.append(text[at[-1] :])
+    return out
+
+
+def _begins(text: str, starts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Where matches begin, and the text's code points. starts: where texts begin that are encoded apart, but stand in one string."""
+    n = len(text)
     code = np.frombuffer(text.encode("latin-1"), np.uint8) if text.isascii() else np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
     kind = _kinds()[code]
     blank = kind == _SPACE
-    begins = np.empty(n, bool)
-    begins[0] = True
-    np.not_equal(kind[1:], kind[:-1], out=begins[1:])
-    begins[1:] &= ~((code[:-1] == 32) & ~blank[1:])  # goes with the space before it
-    begins[:-1] |= blank[:-1] & ~blank[1:]  # the last of a run of white space that something follows
+    first = np.zeros(n + 1, bool)
+    first[0] = first[n] = True
+    if starts is not None:
+        first[starts] = True
+    first, last = first[:n], first[1:]  # a character that begins a text, one that ends one
+    inner = ~first[1:]
+    begins = first.copy()
+    begins[1:] |= kind[1:] != kind[:-1]
+    begins[1:] &= ~((code[:-1] == 32) & ~blank[1:] & inner)  # goes with the space before it
+    begins[:-1] |= blank[:-1] & ~blank[1:] & inner  # the last of a run of white space that something follows
     if "'" in text:
         for i in np.flatnonzero(begins & (code == 39)).tolist():
             size = _ENDINGS.get(text[i + 1 : i + 2]) or _ENDINGS.get(text[i + 1 : i + 3])
-            if size:
+            if size and not last[i : i + size].any():
                 begins[i + 1] = False
                 if i + 1 + size < n:
                     begins[i + 1 + size] = True
-    at = np.flatnonzero(begins).tolist()
-    out = [text[a:b] for a, b in zip(at, at[1:])]
-    out.append(text[at[-1] :])
-    return out
+    return begins, code
+
+
+def batch_matches(texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+    """The matches of PATTERN of all texts in order, dictionary-encoded, and where each text's begin (one more entry than texts)."""
+    text = "".join(texts)
+    starts = np.zeros(len(texts) + 1, np.int64)
+    np.cumsum([len(t) for t in texts], out=starts[1:])
+    if not text:
+        return pa.array([], pa.string()).dictionary_encode(), np.zeros(len(texts) + 1, np.int64)
+    begins, code = _begins(text, starts)
+    at = np.flatnonzero(begins)
+    data = text.encode("utf-8", "surrogatepass")
+    if len(data) == len(text):
+        places = at
+    else:
+        width = 1 + (code >= 0x80).astype(np.int64) + (code >= 0x800) + (code >= 0x10000)
+        places = (np.cumsum(width) - width)[at]
+    offsets = np.append(places, len(data)).astype(np.int64)
+    # matches tile the text, so their bytes are its bytes
+    array = pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(offsets), pa.py_buffer(data))
+    return array.dictionary_encode(), np.searchsorted(at, starts)
 
 
 def splitter(pattern: str) -> Callable[[str], list[str]]:

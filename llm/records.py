@@ -17,7 +17,7 @@ Beside the data an index table (Parquet) holds for each record its file, byte of
 the count of all ids before it. A reader that wants records in random order seeks by it.
 
 Cases: a null or empty text is a record of the end id alone. Null doc_ids come first. Rows with equal doc_id are all
-written, in the order of their texts. No rows: no records, an empty index. Other columns are not read.
+written, in the order of a hash of their texts, then of their places. No rows: no records, an empty index. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from llm.common import new_path, per_batch, table, texts, written
 from llm.memo import Remembered
-from llm.pretokens import splitter
+from llm.pretokens import PATTERN, batch_matches, splitter
 
 END_ID = 0
 #: Text characters that a file holds at about; the number of files follows the input.
@@ -73,13 +73,16 @@ def frames(data: bytes):
 
 #: Pre-tokens that a worker remembers: twice that at most.
 REMEMBERED = 60_000
+#: Characters that are cut into pre-tokens together, which bounds what a worker holds beside its batch.
+GROUP_CHARS = 1 << 19
 
 
 def encoder(path: str, pattern: str):
-    """The width of an id in bytes, and a function from a text to its ids as little-endian bytes with the end id.
+    """The width of an id in bytes, and a function from texts to each one's ids as little-endian bytes with the end id.
 
     Special tokens' strings in a text are ordinary text. The pattern is the tokenizer's own; its matches are encoded
     apart from each other, so each distinct match goes through the library once as long as the worker remembers it.
+    Texts are cut together, GROUP_CHARS characters at a time or one longer text.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel part; threads would only cost memory
     from tokenizers import Tokenizer
@@ -93,7 +96,35 @@ def encoder(path: str, pattern: str):
         return [array(kind, x.ids).tobytes() for x in tokenizer.encode_batch_fast(new, add_special_tokens=False)]
 
     known, end = Remembered(encode, REMEMBERED), END_ID.to_bytes(width, "little")
-    return width, lambda text: b"".join(known.all(split(text))) + end
+    if pattern != PATTERN:
+        return width, lambda texts: [b"".join(known.all(split(text))) + end for text in texts]
+
+    def whole(texts: list[str]) -> list[bytes]:
+        """Each distinct match of all texts is looked up once; ids are gathered by number."""
+        found, bounds = batch_matches(texts)
+        ids = known.all(found.dictionary.to_pylist())
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // width
+        begin = np.cumsum(sizes) - sizes
+        flat, which = np.frombuffer(b"".join(ids), f"<u{width}"), np.asarray(found.indices)
+        many = sizes[which]
+        ends = np.cumsum(many)
+        out = flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin[which] - (ends - many), many)]
+        cuts = np.concatenate(([0], ends))[bounds]
+        return [out[a:b].tobytes() + end for a, b in zip(cuts, cuts[1:], strict=False)]
+
+    def grouped(texts: list[str]) -> list[bytes]:
+        out: list[bytes] = []
+        group: list[str] = []
+        size = 0
+        for text in texts:
+            if group and size + len(text) > GROUP_CHARS:
+                out += whole(group)
+                group, size = [], 0
+            group.append(text)
+            size += len(text)
+        return out + whole(group) if group else out
+
+    return width, grouped
 
 
 _ENCODERS: dict[str, object] = {}
@@ -103,22 +134,25 @@ def write(docs: DataFrame, path: str, vocabulary: str, pattern: str) -> None:
     """Writes docs' records in ascending doc_id order to path/data and their index to path/index."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = docs.withColumn("hash", F.xxhash64("text")).withColumn("place", F.monotonically_increasing_id())
     chars = docs.agg(F.coalesce(F.sum(F.length("text") + 64), F.lit(0))).first()[0]
 
     def encode():
-        width, one = _ENCODERS.get(vocabulary) or _ENCODERS.setdefault(vocabulary, encoder(vocabulary, pattern))  # kept while the worker lives
+        width, all_ids = _ENCODERS.get(vocabulary) or _ENCODERS.setdefault(vocabulary, encoder(vocabulary, pattern))  # kept while the worker lives
 
         def step(batch: pa.RecordBatch) -> dict:
-            return {"frame": [frame(d, one(t), width) for d, t in zip(batch.column("doc_id").to_pylist(), texts(batch), strict=True)]}
+            return {"frame": [frame(d, ids, width) for d, ids in zip(batch.column("doc_id").to_pylist(), all_ids(texts(batch)), strict=True)]}
 
         return step
 
-    ordered = docs.repartitionByRange(max(1, -(-chars // FILE_CHARS)), "doc_id").sortWithinPartitions("doc_id", "text")
+    order = ["doc_id", "hash", "place"]  # a doc_id, or a row, that holds a third of all rows fills many files
+    ordered = docs.repartitionByRange(max(1, -(-chars // FILE_CHARS)), *order).sortWithinPartitions(*order).select("doc_id", "text")
     per_batch(ordered, encode, "frame binary").select(F.col("frame").cast("string").alias("value")).write.text(f"{path}/data")
     rows = written(scan(spark, path).drop("ids_crc32"), "record-places")
     # a running sum over files: one row of counts a file, rows of documents never meet in one task
     totals = rows.groupBy("file").agg(F.sum("n_tokens").alias("all"))
-    bases = totals.selectExpr("file", "sum(`all`) over (order by file) - `all` as base")
+    # by number: as texts, part-100000 would come before part-99999
+    bases = totals.selectExpr("file", "sum(`all`) over (order by cast(regexp_extract(file, '([0-9]+)', 1) as long)) - `all` as base")
     index = rows.join(bases, "file").select("file", "offset", "length", "doc_id", "n_tokens", (F.col("base") + F.col("before")).alias("start"))
     index.write.parquet(f"{path}/index")
 

@@ -121,3 +121,22 @@ def test_every_character_has_its_kind():
     for a in range(0, 0x110000, 0x1000):
         text = "".join(chr(c) for c in range(a, a + 0x1000) if not 0xD800 <= c < 0xE000)
         assert pretokens.matches(text) == regex.findall(P.PATTERN, text)
+
+
+@given(st.lists(st.text(alphabet=st.sampled_from("aé𝒳1٣ \n\t'.sdtmrevl　"), max_size=12), max_size=8))
+@settings(max_examples=300, deadline=None)
+def test_texts_cut_together_are_cut_as_each_alone(parts):
+    found, bounds = pretokens.batch_matches(parts)
+    every = found.cast("large_string").to_pylist() if len(found) else []
+    assert [every[a:b] for a, b in zip(bounds, bounds[1:], strict=False)] == [regex.findall(pretokens.PATTERN, t) for t in parts]
+
+
+def test_one_doc_id_fills_many_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(records, "FILE_CHARS", 4000)
+    docs = spark.createDataFrame([(7 if i % 3 else i, f"text number {i % 40} " * 9) for i in range(600)], "doc_id long, text string").repartition(5)
+    path = f"file://{tmp_path}/hot"
+    records.write(docs, path, P.path("byte_bpe_50k.json"), P.PATTERN)
+    rows = sorted(records.placed(spark, path).collect(), key=lambda r: r.start)
+    assert len(rows) == 600 and [r.doc_id for r in rows] == sorted(r.doc_id for r in rows)
+    assert len({r.file for r in rows if r.doc_id == 7}) > 5
+    assert [r.start for r in rows] == [sum(x.n_tokens for x in rows[:i]) for i in range(600)]
