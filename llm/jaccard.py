@@ -82,21 +82,24 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def _leaves(classes: DataFrame) -> DataFrame:
-    """cls, leaf, n: the buckets of two classes or more in which each class is compared."""
-    out, parents = None, None
+    """cls, leaf, n: the buckets of two classes or more in which each class is compared.
+
+    A class goes down as one row: its paths that are still open are an array, by which the next level's array is filtered.
+    """
+    out, large = None, None
     for k in range(DEPTH):
-        rows = classes
-        if parents is not None:
-            rows = rows.join(parents.select("cls").distinct(), "cls", "left_semi")
-        rows = rows.select("cls", F.explode(f"level{k}").alias("x")).select("cls", "x.parent", "x.path")
-        if parents is not None:
-            rows = rows.join(parents.select("cls", F.col("path").alias("parent")), ["cls", "parent"], "left_semi")
-        rows = rows.select("cls", "path").distinct()
+        rows, level = classes, F.col(f"level{k}")
+        if large is not None:
+            # at most the paths of one level of one class, whatever the input
+            rows = classes.join(large.groupBy("cls").agg(F.collect_set("path").alias("open")), "cls")
+            level = F.filter(level, lambda x: F.array_contains("open", x["parent"]))
+        paths = F.array_distinct(F.transform(level, lambda x: x["path"]))
+        rows = rows.select("cls", F.explode(paths).alias("path"))
         counts = written(rows.groupBy("path").agg(F.count("*").alias("n")).filter("n > 1"), "bucket-sizes")
         rows = written(rows.join(counts, "path"), "buckets")
         here = rows if k == DEPTH - 1 else rows.filter(F.col("n") <= SMALL)
         out = here if out is None else out.union(here)
-        parents = rows.filter(F.col("n") > SMALL)
+        large = rows.filter(F.col("n") > SMALL)
     return written(out.select("cls", F.col("path").alias("leaf"), "n"), "leaves")
 
 
