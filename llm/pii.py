@@ -3,11 +3,14 @@
 Strict base patterns with their checks (Luhn, parts of an address up to 255, digits of a phone number) are reported as
 they are. Beside them high-recall generators propose spans of the same four kinds that overlap freely: spelled-out
 mail addresses, numbers without a country code, spaced or bracketed addresses, cards in odd groups. Each has features of
-format (digits, groups, separators, what it touches) and of context (telling words before it). What the base checks
-accept among the candidates trains the boosted trees, the rest are its negatives; no feature says whether a check holds.
-Counts over all candidates are what the trees are fitted on (see boosting.py); one half of the documents, by hash, fits
-and the other calibrates a threshold a kind. Candidates from the threshold on are added, unless a base span of the
-same kind overlaps them.
+format (digits, groups, blanks, brackets, prefix, what it touches) and of context (telling words before it).
+
+A candidate's label for the boosted trees is a check of its plain form: `at` and `dot` spelled out as one writes them
+together, brackets and blanks taken out of an address, any separators out of a card (Luhn), a country prefix or a telling
+word before a national number. No feature says whether such a check holds, so a format is as good as its candidates are.
+Counts over all candidates are what the trees are fitted on (see boosting.py); one half of the documents, by hash, fits.
+The other calibrates a threshold a kind, on those candidates alone that a base span of the kind doesn't overlap: they are
+what may be added, and from the threshold on they are.
 
 Cases: a null text is empty and has no spans. Equal rows give equal rows. No rows: no rows, and no model. Where a half
 has no positive of a kind, that kind adds nothing. Only doc_id and text are read, so other columns can't clash.
@@ -24,8 +27,8 @@ from llm.common import table, written
 from llm.spans import SPAN, add_matches, joined, spans
 
 KINDS = ["email", "ip", "card", "phone"]
-FEATURES = ["digits", "groups", "separators", "touches", "cue", "length", "last_group"]
-#: Share of base-like candidates that a threshold must reach in the half that calibrates.
+FEATURES = ["digits", "groups", "blanks", "brackets", "prefix", "mixed", "touches", "cue", "last_group"]
+#: Share of positive candidates, among those that may be added, that a threshold must reach in the half that calibrates.
 PRECISION = 0.95
 # Base patterns. Groups that repeat would recurse in the matcher, so dots of domains, and separators of cards, that join
 # nothing are first put out of the way, character for character; the rest is runs of single characters.
@@ -40,7 +43,11 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 WIDE_EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+(?:@|\x20?[\[({]\x20?(?i:at)\x20?[\])}]\x20?|\x20(?i:at)\x20)[A-Za-z0-9-]{1,63}+(?:(?:\.|\x20?[\[({]\x20?(?i:dot)\x20?[\])}]\x20?|\x20(?i:dot)\x20)[A-Za-z0-9-]{1,63}+){1,8}"
 WIDE_IP = r"(?<![0-9.])[0-9]{1,3}(?:(?:\.|\x20\.\x20?|\[\.\]|\(\.\))[0-9]{1,3}){3}(?![0-9])"
 WIDE_CARD = r"(?<![0-9])[0-9](?:[\x20._/-]{0,2}[0-9]){13,18}(?![0-9])"
-WIDE_PHONE = r"(?<![0-9A-Za-z+])(?:\+|00)?\(?[0-9]{1,4}(?:[\x20().-]{1,2}[0-9]{2,5}){1,5}(?![0-9A-Za-z])"
+WIDE_PHONE = r"(?<![0-9A-Za-z+])(?:\+|00)?\(?[0-9]{1,4}(?:[\x20().-]{1,2}[0-9]{2,8}){1,5}(?![0-9A-Za-z])"
+AT = r"\x20?[\[({]\x20?(?i:at)\x20?[\])}]\x20?|\x20(?i:at)\x20"
+DOT = r"\x20?[\[({]\x20?(?i:dot)\x20?[\])}]\x20?|\x20(?i:dot)\x20"
+#: `at` as a word of its own before a plain host: look at example.com.
+LOOSE_AT = r"(?i)[^\[({]\x20at\x20[^\x20]*$"
 CUES = [r"(?i)mail|contact|write", r"(?i)\bip|addr|host|server", r"(?i)card|visa|pay|credit|account", r"(?i)phone|tel|call|fax|mobile|whatsapp"]
 
 
@@ -59,33 +66,38 @@ def n_digits(value: Column) -> Column:
     return F.length(F.regexp_replace(value, "[^0-9]", ""))
 
 
-def _valid(value: Column, kind: int) -> Column:
-    """Whether a whole candidate is what the base would report."""
+def _positive(v: Column, kind: int, cue: Column) -> Column:
+    """Whether a candidate's plain form holds what its kind must."""
     if kind == 0:
-        return value.rlike(r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+$")
+        plain = F.regexp_replace(F.regexp_replace(v, AT, "@"), DOT, ".")
+        return v.rlike(r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+$") | plain.rlike(r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}$") & ~v.rlike(LOOSE_AT)
     if kind == 1:
-        return value.rlike(IP_PARTS)
+        return F.regexp_replace(v, r"[\[\]()\x20]", "").rlike(IP_PARTS)
     if kind == 2:
-        return value.rlike(r"^[0-9]([\x20-]?[0-9])+$") & n_digits(value).between(14, 19) & luhn(value)
-    return value.rlike(r"^\+[0-9][\x20().0-9-]+[0-9]$") & n_digits(value).between(10, 15)
+        return n_digits(v).between(14, 19) & luhn(v)
+    return v.rlike(r"^(?:\+|00)") & n_digits(v).between(10, 15) | cue & n_digits(v).between(9, 15)
 
 
 def _features(m: Column, kind: int) -> Column:
     """Small whole numbers of a candidate: the table of their combinations stays small whatever the input."""
     v = m["v"]
-    seps = F.regexp_replace(v, "[A-Za-z0-9]", "")
+    seps = F.regexp_replace(v, r"[A-Za-z0-9+]", "")
     last = F.regexp_extract(v, "([A-Za-z0-9]+)$", 1)
+    cue = m["before"].rlike(CUES[kind])
+    none = F.lit(0)
     return F.struct(
         m["s"].alias("s"),
         m["e"].alias("e"),
         F.lit(kind).alias("kind"),
-        _valid(v, kind).cast("int").alias("valid"),
-        (F.least(n_digits(v), F.lit(20)) if kind > 1 else F.least(n_digits(v), F.lit(4))).cast("int").alias("digits"),
+        _positive(v, kind, cue).cast("int").alias("positive"),
+        F.least(n_digits(v), F.lit((4, 12, 20, 20)[kind])).alias("digits"),
         F.least(F.size(F.split(v, "[^A-Za-z0-9]+")), F.lit(6)).alias("groups"),
-        F.when(seps == "", 0).when(seps.rlike(r"^(.)\1*$"), 1).when(seps.rlike(r"^[^\[({]*$"), 2).otherwise(3).alias("separators"),
+        F.least(F.length(v) - F.length(F.replace(v, F.lit(" "))), F.lit(4)).alias("blanks"),
+        F.least(F.length(F.regexp_replace(v, r"[^\[({]", "")), F.lit(3)).alias("brackets"),
+        (F.when(v.startswith("+"), 2).when(v.startswith("00"), 1).otherwise(0) if kind == 3 else none).alias("prefix"),
+        (none if kind < 2 else F.when(seps.rlike(r"^(.)\1*$") | (seps == ""), 0).otherwise(1)).alias("mixed"),
         (F.when(F.right(m["before"], F.lit(1)).rlike("[A-Za-z0-9._/-]"), 1).otherwise(0) + F.when(F.left(m["after"], F.lit(1)).rlike("[A-Za-z0-9_/-]"), 2).otherwise(0)).alias("touches"),
-        F.when(m["before"].rlike(CUES[kind]), 1).otherwise(0).alias("cue"),
-        F.least(F.floor(F.length(v) / 6), F.lit(6)).cast("int").alias("length"),
+        cue.cast("int").alias("cue"),
         F.least(F.length(last), F.lit(5)).alias("last_group"),
     )
 
@@ -106,7 +118,13 @@ def candidates(docs: DataFrame) -> DataFrame:
         spans(F.filter("p", lambda m: n_digits(m["v"]).between(10, 15)), 3),
     )
     found = F.concat(*[_all(c, k) for k, c in enumerate(("we", "wi", "wc", "wp"))])
-    return df.select("doc_id", "fold", base.alias("base"), found.alias("found"))
+    df = df.select("doc_id", "fold", base.alias("base"), found.alias("found"))
+
+    def free(x: Column) -> Column:
+        """Whether no base span of the kind overlaps."""
+        return ~F.exists("base", lambda b: (b["kind"] == x["kind"]) & (b["s"] < x["e"]) & (x["s"] < b["e"]))
+
+    return df.withColumn("found", F.transform("found", lambda x: x.withField("free", free(x).cast("int"))))
 
 
 def _all(column: str, kind: int) -> Column:
@@ -116,16 +134,18 @@ def _all(column: str, kind: int) -> Column:
 def train(found: DataFrame) -> dict[int, tuple[Boosted, float]]:
     """For each kind the trees and the threshold. The driver gets one line for each combination of features and fold."""
     each = found.select("fold", F.explode("found").alias("x")).select("fold", "x.*")
-    counts = each.groupBy("kind", "fold", *FEATURES).agg(F.count("*").alias("n"), F.sum("valid").alias("positive")).collect()
+    sums = [F.sum("positive").alias("positive"), F.sum("free").alias("free"), F.sum(F.col("free") * F.col("positive")).alias("new")]
+    counts = each.groupBy("kind", "fold", *FEATURES).agg(F.count("*").alias("n"), *sums).collect()
     out = {}
     for kind in range(len(KINDS)):
-        table_ = np.array([[r.fold, r.n, r.positive, *[r[f] for f in FEATURES]] for r in sorted(counts) if r.kind == kind], float).reshape(-1, 3 + len(FEATURES))
-        fold, n, positive, x = table_[:, 0], table_[:, 1], table_[:, 2], table_[:, 3:]
+        lines = [[r.fold, r.n, r.positive, r.free, r.new, *[r[f] for f in FEATURES]] for r in sorted(counts) if r.kind == kind]
+        table_ = np.array(lines, float).reshape(-1, 5 + len(FEATURES))
+        (fold, n, positive, free, new), x = table_[:, :5].T, table_[:, 5:]
         own, other = fold == 0, fold == 1
-        if positive[own].sum() == 0 or positive[other].sum() == 0:
+        if positive[own].sum() == 0 or new[other].sum() == 0:
             continue
         model = fit(x[own], n[own], positive[own], FEATURES)
-        out[kind] = model, threshold(model.of(x[other]), n[other], positive[other], PRECISION)
+        out[kind] = model, threshold(model.of(x[other]), free[other], new[other], PRECISION)
     return out
 
 
@@ -135,15 +155,10 @@ def scan(docs: DataFrame) -> DataFrame:
     score = F.lit(False)
     for kind, (model, least) in train(found).items():
         score = F.when(F.col("kind") == kind, model.column() >= least).otherwise(score)
-    each = found.select(F.explode("found").alias("x")).select("x.kind", *[f"x.{f}" for f in FEATURES])
+    each = found.select(F.explode("found").alias("x")).filter("x.free = 1").select("x.kind", *[f"x.{f}" for f in FEATURES])
     # one line for each selected combination of features: as many as the features have levels, whatever the input
-    chosen = [r.level for r in each.distinct().filter(score).select(F.concat_ws(":", "kind", *FEATURES).alias("level")).collect()]
-    chosen = F.array(*map(F.lit, sorted(chosen))).cast("array<string>")
-    added = F.filter(
-        "found",
-        lambda x: F.array_contains(chosen, F.concat_ws(":", x["kind"], *[x[f] for f in FEATURES]))
-        & ~F.exists("base", lambda b: (b["kind"] == x["kind"]) & (b["s"] < x["e"]) & (x["s"] < b["e"])),
-    )
+    chosen = sorted(r.level for r in each.distinct().filter(score).select(F.concat_ws(":", "kind", *FEATURES).alias("level")).collect())
+    added = F.filter("found", lambda x: (x["free"] == 1) & F.concat_ws(":", x["kind"], *[x[f] for f in FEATURES]).isin(chosen)) if chosen else F.slice("found", 1, 0)
     added = F.transform(added, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["kind"].alias("kind"))).cast(f"array<{SPAN}>")
     return found.select("doc_id", "base", F.concat("base", added).alias("every"))
 
