@@ -1,21 +1,25 @@
 """HTML extraction by inferred wrappers: union-free expressions over the pages of a host.
 
-Up to about SAMPLED pages of each host are aligned, one after the other. A page is read as a tree; sibling runs that repeat
-become repeated groups (one tag, or a sequence of up to PERIOD tags), what one page has and another lacks becomes optional,
-and text that differs becomes a slot. So every host has one expression without alternatives. In it the main region is
+All pages of a host that share a template, that is the containers of their upper LEVELS, are aligned. A page is read as a
+tree; sibling runs that repeat become repeated groups (one tag, or a sequence of up to PERIOD tags), what one page has and
+another lacks becomes optional, a run of optional parts in which one recurs becomes a repeated group of them, and text that
+differs becomes a slot. So every template has one expression without alternatives. Each task aligns the pages that it reads,
+and the tasks' expressions are aligned in two rounds, so no task reads a host. In the expression the main region is
 found: from the body down, as long as one part holds nearly all slot text outside of what is no article by its tag, its
-role or its telling class. A page's text is that of its region; a page that lacks it is its own sample.
+role or its telling class. A page's text is that of its region; a page that lacks it is aligned with itself alone.
 
 Blocks are what block elements part; a line break is white space. References are decoded, white space becomes one space,
 blocks are joined by two newlines. Comments, scripts, styles and the like are skipped by the tokenizer.
 
 Cases: null and empty html give an empty text; so do pages without article text. Broken tags, unclosed elements and stray
 `<` are read as browsers do at about. A null or odd url is a host of its own. Equal rows give equal rows. No rows: no
-rows. Other columns are not read.
+rows. Other columns are not read. Elements may be nested to any depth; an expression describes the upper DEEP levels, and
+what lies below counts as text of the last of them.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html
 import json
 import re
@@ -28,8 +32,10 @@ from pyspark.sql import functions as F
 
 from llm.common import table, written
 
-#: Pages of a host that its wrapper is inferred from: all up to this many, else about this many by hash.
-SAMPLED = 24
+#: Levels whose containers tell templates apart; levels that an expression describes.
+LEVELS, DEEP = 3, 200
+#: Expressions that a task holds before it passes them on; parts that a template's expressions are first dealt to.
+HELD, DEALT = 1000, 64
 #: Tags in a sequence that may repeat; share of the text that the next step down must hold.
 PERIOD, HOLDS = 4, 0.7
 _TOKEN = re.compile(
@@ -75,8 +81,11 @@ def tree(page: str) -> Node:
     root = Node("html")
     stack = [root]
     names = ["html"]
+    articles = 0  # open ones
 
     def close(upto: int) -> None:
+        nonlocal articles
+        articles -= sum(n in ("article", "main") for n in names[upto:])
         del stack[upto:], names[upto:]
 
     for m in _TOKEN.finditer(page):
@@ -108,18 +117,19 @@ def tree(page: str) -> Node:
                     break
                 if names[i] in CONTAINERS:
                     break
-        key, out = _key(name, m[4] or m[7] or "", "article" in names or "main" in names)
+        key, out = _key(name, m[4] or m[7] or "", articles > 0)
         node = Node(key, out)
         stack[-1].kids.append(node)
         if name not in VOID and not (m[4] or m[7] or "").rstrip().endswith("/"):
             stack.append(node)
             names.append(name)
+            articles += name in ("article", "main")
     return root
 
 
 @dataclass
 class Pattern:
-    """An element of the expression: optional (?), repeated (+), with its text: constant while all texts were equal."""
+    """An element of the expression: optional (?), repeated (+), with its text: constant (a digest) while all texts were equal."""
 
     key: str
     out: bool
@@ -137,13 +147,26 @@ class Pattern:
         return f"{self.key}{f'({inner})' if inner else ''}{'+' if self.repeated else ''}{'?' if self.optional else ''}"
 
 
-def pattern(node: Node) -> Pattern:
-    texts = [t.strip() for t in node.kids if isinstance(t, str) and t.strip()]
-    out = Pattern(node.key, node.out, constant=" ".join(texts), chars=sum(map(len, texts)))
-    out.kids = _folded([pattern(k) for k in node.kids if isinstance(k, Node)])
+def pattern(node: Node, levels: int = DEEP) -> Pattern:
+    found = [t.strip() for t in (node.kids if levels else _below(node)) if isinstance(t, str) and t.strip()]
+    out = Pattern(node.key, node.out, constant=hashlib.md5(" ".join(found).encode("utf-8", "replace")).hexdigest() if found else "", chars=sum(map(len, found)))
+    if levels:
+        out.kids = _folded([pattern(k, levels - 1) for k in node.kids if isinstance(k, Node)])
     return out
 
 
+def _below(node: Node) -> list[str]:
+    """All texts at or below a node that may be of an article, in order."""
+    found, todo = [], [node]
+    while todo:
+        at = todo.pop()
+        if isinstance(at, str):
+            found.append(at)
+        elif not at.out or at is node:
+            todo.extend(reversed(at.kids))
+    return found
+
+
 def _folded(kids: list[Pattern]) -> list[Pattern]:
     """Sequences that follow on themselves as one repeated sequence."""
     for period in range(1, PERIOD + 1):
@@ -172,10 +195,36 @@ def merged(a: Pattern, b: Pattern) -> Pattern:
             for x in [*a.kids[i:j], *b.kids[k:n]]:
                 x.optional = True
                 kids.append(x)
-    out.kids = _folded(kids)
+    out.kids = _folded(_grouped(kids))
     return out
 
 
+def _grouped(kids: list[Pattern]) -> list[Pattern]:
+    """Runs of optional parts with each part once: what recurs in a run is repeated."""
+    out: list[Pattern] = []
+    place: dict[str, int] = {}
+    for kid in kids:
+        if not kid.optional:
+            place = {}
+        elif kid.key in place:
+            at = place[kid.key]
+            out[at] = merged(out[at], kid)
+            out[at].repeated = True
+            continue
+        else:
+            place[kid.key] = len(out)
+        out.append(kid)
+    return out
+
+
+def _packed(p: Pattern) -> list:
+    return [p.key, p.out, [_packed(k) for k in p.kids], p.optional, p.repeated, p.constant, p.chars]
+
+
+def _unpacked(x: list) -> Pattern:
+    return Pattern(x[0], x[1], [_unpacked(k) for k in x[2]], *x[3:])
+
+
 def infer(pages: list[str]) -> Pattern | None:
     found: Pattern | None = None
     for page in pages:
@@ -184,11 +233,27 @@ def infer(pages: list[str]) -> Pattern | None:
     return found
 
 
+def _is_step(key: str) -> bool:
+    """Whether a part may hold the main region."""
+    name = key.split(".")[0]
+    return name in CONTAINERS and name not in ("table", "ul", "ol", "blockquote", "li", "tr", "td")
+
+
+def template(root: Node) -> int:
+    """A number of the containers of a page's upper levels."""
+    found, level = set(), [("", root)]
+    for _ in range(LEVELS):
+        level = [(f"{path} {k.key}", k) for path, n in level for k in n.kids if isinstance(k, Node) and not k.out and _is_step(k.key)]
+        found.update(path for path, _ in level)
+        level = [(path, k) for path, k in level if k.key.split(".")[0] not in ("article", "main")]
+    return int.from_bytes(hashlib.md5("\n".join(sorted(found)).encode("utf-8", "replace")).digest()[:8], "big", signed=True)
+
+
 def region(expression: Pattern) -> list[str]:
     """Keys of the steps down to the main region."""
     at, steps = expression, []
     while True:
-        inside = [k for k in at.kids if not k.out and k.key.split(".")[0] in CONTAINERS and k.key.split(".")[0] not in ("table", "ul", "ol", "blockquote", "li", "tr", "td")]
+        inside = [k for k in at.kids if not k.out and _is_step(k.key)]
         best = max(inside, key=lambda k: (k.key.split(".")[0] in ("article", "main"), k.text()), default=None)
         if best is None or best.text() < HOLDS * at.text() and not (best.key.split(".")[0] in ("article", "main", "body") and best.text()) or not at.text():
             return steps
@@ -211,9 +276,14 @@ def extract(page: str | None, steps: list[str] | None) -> str:
             nodes = [k for n in nodes for k in n.kids if isinstance(k, Node) and k.key == key and not k.out]
     blocks: list[list[str]] = [[]]
 
-    def walk(node: Node) -> None:
-        for kid in node.kids:
-            if isinstance(kid, str):
+    for node in nodes:
+        blocks.append([])
+        todo: list = list(reversed(node.kids))  # texts, nodes, and None where a block ends
+        while todo:
+            kid = todo.pop()
+            if kid is None:
+                blocks.append([])
+            elif isinstance(kid, str):
                 blocks[-1].append(kid)
             elif not kid.out:
                 name = kid.key.split(".")[0]
@@ -221,43 +291,69 @@ def extract(page: str | None, steps: list[str] | None) -> str:
                     blocks[-1].append(" ")
                 if name in BLOCK:
                     blocks.append([])
-                walk(kid)
-                if name in BLOCK:
-                    blocks.append([])
-
-    for node in nodes:
-        blocks.append([])
-        walk(node)
+                    todo.append(None)
+                todo.extend(reversed(kid.kids))
     texts = (" ".join(html.unescape("".join(b)).split()) for b in blocks)
     return "\n\n".join(t for t in texts if t)
 
 
 def wrappers(pages: DataFrame) -> DataFrame:
-    """host, steps (JSON) and expression of each host; pages: page_id, host, html."""
-    light = pages.select("host", F.xxhash64("host", "page_id", F.length("html")).alias("h"))
-    sizes = light.groupBy("host").agg(F.count("*").alias("n"))
-    some = light.join(sizes, "host").filter(F.pmod("h", F.col("n")) < SAMPLED).select("h").distinct()
-    sample = pages.withColumn("h", F.xxhash64("host", "page_id", F.length("html"))).join(some, "h", "left_semi").select("host", "page_id", "html")
-
-    def work(key, group):
-        rows = sorted(zip(group.column("page_id").to_pylist(), group.column("html").to_pylist(), strict=True), key=str)
-        found = infer([h for _, h in rows if h])
-        return pa.table({"host": [key[0].as_py()], "steps": [json.dumps(region(found) if found else [])], "expression": [str(found) if found else ""]})
-
-    return sample.groupBy("host").applyInArrow(work, "host string, steps string, expression string")
+    """host, template, steps (JSON) and expression of each template; pages: host, template, html."""
+
+    def aligned(batches):
+        held: dict[tuple, Pattern] = {}
+
+        def out():
+            keys = list(held)
+            return pa.RecordBatch.from_pydict({"host": [k[0] for k in keys], "template": pa.array([k[1] for k in keys], pa.int64()), "packed": [json.dumps(_packed(held[k])) for k in keys]})
+
+        for batch in batches:
+            for host, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), strict=True):
+                root = tree(page)
+                key, own = (host, template(root)), pattern(root)
+                held[key] = merged(held[key], own) if key in held else own
+            if len(held) >= HELD:
+                yield out()
+                held = {}
+        if held:
+            yield out()
+
+    def whole(key, group):
+        found: Pattern | None = None
+        for x in sorted(group.column("packed").to_pylist()):
+            own = _unpacked(json.loads(x))
+            found = own if found is None else merged(found, own)
+        return found
+
+    def part(key, group):
+        return pa.table({"host": [key[0].as_py()], "template": pa.array([key[1].as_py()], pa.int64()), "packed": [json.dumps(_packed(whole(key, group)))]})
+
+    def last(key, group):
+        found = whole(key, group)
+        return pa.table({"host": [key[0].as_py()], "template": pa.array([key[1].as_py()], pa.int64()), "steps": [json.dumps(region(found))], "expression": [str(found)]})
+
+    packed = "host string, template long, packed string"
+    found = written(pages.filter("html <> ''").select("host", "html").mapInArrow(aligned, packed), "aligned")
+    found = found.withColumn("part", F.pmod(F.xxhash64("packed"), F.lit(DEALT))).groupBy("host", "template", "part").applyInArrow(part, packed)
+    return found.groupBy("host", "template").applyInArrow(last, "host string, template long, steps string, expression string")
 
 
 def article_texts(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of each page."""
     host = F.coalesce(F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]+)", 1)), F.lit(""))
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html")).withColumn("host", host)
-    found = written(wrappers(pages), "wrappers").select(F.col("host").alias("of"), "steps")
+    found = written(wrappers(pages), "wrappers").select(F.col("host").alias("of"), F.col("template").alias("like"), "steps")
+
+    @F.pandas_udf("long")
+    def templates(page):
+        return page.map(lambda p: template(tree(p or "")))
 
     @F.pandas_udf("string")
     def texts(page, steps):
         return page.combine(steps, lambda p, s: extract(p, json.loads(s) if s else None))
 
-    both = pages.join(found, F.col("host") == F.col("of"), "left")
+    pages = pages.withColumn("template", templates("html"))
+    both = pages.join(found, (F.col("host") == F.col("of")) & (F.col("template") == F.col("like")), "left")
     return both.select("page_id", "url", texts("html", "steps").alias("text")).withColumn("n_chars", F.length("text").cast("long"))
 
 

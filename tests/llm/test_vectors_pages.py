@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import json
 import random
 import re
 
@@ -107,6 +108,38 @@ def test_expression_of_pages():
     assert str(found) == "html(body(h2(#)+ p(#)+))"
 
 
+def test_a_rare_template_of_a_host(spark, tables):
+    """2 % of a host's pages have a teaser where the others have the article, and the article beside it."""
+    usual = '<body><div class="wrap"><div class="text"><p>first of {0} with some words</p><p>second of {0} with some more</p></div></div></body>'
+    rare = '<body><div class="wrap"><div class="text"><p>Teaser {0}</p></div><div class="story"><p>a long story of {0} that goes on and on</p><p>and on for {0}, and on and on and on</p></div></div></body>'
+    rows = [(i, f"https://h.example/{i}", (rare if i % 50 == 7 else usual).format(i)) for i in range(300)]
+    for x in wrappers.op8_article_text(spark, tables(pages=[("page_id", "url", "html"), *rows])).collect():
+        if x.page_id % 50 == 7:
+            assert f"a long story of {x.page_id}" in x.text
+        else:
+            assert x.text == f"first of {x.page_id} with some words\n\nsecond of {x.page_id} with some more"
+
+
+@pytest.mark.parametrize("depth", [600, 100_000])
+def test_deep_pages(depth):
+    page = "<div>" * depth + "<p>deep</p><nav>out</nav>" + "</div>" * depth + "<p>after"
+    root = wrappers.tree(page)
+    assert str(wrappers.merged(wrappers.pattern(root), wrappers.pattern(root)))
+    assert wrappers.template(root) == wrappers.template(wrappers.tree(page))
+    assert wrappers.extract(page, None) == "deep\n\nafter"
+    found = wrappers.infer([page, page])
+    assert str(wrappers._unpacked(json.loads(json.dumps(wrappers._packed(found))))) == str(found)
+
+
+@pytest.mark.parametrize("n", [30, 500])
+def test_optional_parts_that_recur_are_one_group(n):
+    """An expression grows with the kinds of parts, not with the pages."""
+    r = random.Random(n)
+    tags = ["p", "h2", "ul", "pre", "div"]
+    found = wrappers.infer([f"<body>{''.join(f'<{t}>{r.random()}</{t}>' for t in r.choices(tags, k=r.randint(1, 30)))}" for _ in range(n)])
+    assert sorted(str(k) for k in found.kids[0].kids) == sorted(f"{t}(#)+?" for t in tags)
+
+
 def test_no_pages(spark, tables):
     assert wrappers.op8_article_text(spark, tables(pages=[("page_id", "url", "html")])).count() == 0
 
