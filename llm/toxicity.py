@@ -7,7 +7,7 @@ word that merely sits in copies of one toxic document doesn't get in. Beginnings
 
 Reading. A word hits an entry if it is equal, begins with the stem, or is one edit away from an entry of FUZZY_FROM letters
 or more: an automaton that accepts all words within one edit of the text's word runs down the trie of entries. Words one
-edit away which clean documents of the sample hold are exceptions. A hit inside of quotation marks counts as quotation.
+edit away which clean documents of the sample hold are exceptions. A hit inside of quotation marks that close on the same line counts as quotation.
 Hits that stand close together count as abuse more than scattered ones. A logistic model over these sums scores.
 
 Cases: null and empty texts score as texts without hits. Equal rows score alike; repeated labels of a document count as
@@ -47,7 +47,14 @@ MISSPELLED = 0.7
 CONTEXT = 10
 THRESHOLD = 0.7
 REMEMBERED = 60_000
-_TOKEN = re.compile(r"[\"“”„«»\n]|[^\x00-\x2F\x3A-\x60\x7B-\x7F“”„«»]+")
+# Typographic quotation marks and apostrophes part words, as the ASCII ones do.
+_TOKEN = re.compile(r"[\"“”„«»\n]|[^\x00-\x2F\x3A-\x60\x7B-\x7F“”„«»‘’]+")
+_PART = str.maketrans(dict.fromkeys("“”„«»‘’", " "))
+
+
+def words_of(text: str) -> list[bytes]:
+    """The distinct words of a text in lower case, cut as _TOKEN cuts them."""
+    return list(set(word_list(text.lower().translate(_PART))))
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -125,11 +132,12 @@ class Reader:
     def features(self, text: str | None) -> tuple[float, float, float]:
         """Hits, a misspelled one counting MISSPELLED; quoted hits; most hits within CONTEXT words. Each n as 1 - exp(-n)."""
         low = (text or "").lower()
-        distinct = list(set(word_list(low)))
+        distinct = words_of(low)
         hits = {w.decode("utf-8", "surrogatepass"): k for w, k in zip(distinct, self.known.all(distinct), strict=True) if k}
         if not hits:
             return 0.0, 0.0, 0.0
         count, quoted, places, at, is_open = [0, 0, 0], 0, [], 0, False
+        line_end, last_mark = -1, -1  # of the line of the last hit that stood in quotation marks
         for m in _TOKEN.finditer(low):
             token = m[0]
             if token == "\n":
@@ -139,7 +147,11 @@ class Reader:
             else:
                 at += 1
                 if kind := hits.get(token):
-                    if is_open and low.find("\n", m.end(), m.end() + 300) < 0 and re.search("[\"”“»]", low[m.end() : m.end() + 300]):
+                    if is_open and m.end() > line_end:
+                        line_end = low.find("\n", m.end())
+                        line_end = len(low) if line_end < 0 else line_end
+                        last_mark = max(low.rfind(c, m.end(), line_end) for c in '"”“»')
+                    if is_open and last_mark >= m.end():
                         quoted += 1
                     else:
                         count[kind] += 1
@@ -162,7 +174,7 @@ def _counts(sample: DataFrame) -> DataFrame:
         def step(batch: pa.RecordBatch) -> dict:
             found: dict[bool, Counter] = {True: Counter(), False: Counter()}
             for text, label in zip(texts(batch), batch.column("toxic").to_pylist(), strict=True):
-                terms = {w.decode("utf-8", "surrogatepass") for w in word_list(text.lower())}
+                terms = {w.decode("utf-8", "surrogatepass") for w in words_of(text)}
                 found[label == 1].update({(w, False) for w in terms} | {(w[:n], True) for w in terms for n in STEMS if n < len(w)})
             keys = list(found[True].keys() | found[False].keys())
             return {"term": [k[0] for k in keys], "stem": [k[1] for k in keys], "toxic": [found[True][k] for k in keys], "clean": [found[False][k] for k in keys]}
@@ -182,7 +194,7 @@ def _chosen(sample: DataFrame, telling: set[tuple[str, bool]], certain: float) -
         def step(batch: pa.RecordBatch) -> dict:
             out = []
             for text in texts(batch):
-                own = {w.decode("utf-8", "surrogatepass") for w in word_list(text.lower())}
+                own = {w.decode("utf-8", "surrogatepass") for w in words_of(text)}
                 out.append([*sorted(own & words), *sorted({w[:n] + "*" for w in own for n in STEMS if n < len(w) and w[:n] in stems})])
             runs, bounds = shingles(*hashed_words(batch.column("text")))
             return {"terms": out, "copy": [int(runs[a:b].min() >> np.uint64(1)) if a < b else None for a, b in zip(bounds, bounds[1:], strict=False)]}
@@ -231,7 +243,7 @@ def _sampled_features(sample: DataFrame, lexicon: Lexicon) -> pd.DataFrame:
 
         def step(batch: pa.RecordBatch) -> dict:
             rows = texts(batch)
-            near = [sorted({w.decode("utf-8", "surrogatepass") for w in word_list(t.lower()) if reader.known.all([w])[0] == 2}) for t in rows]
+            near = [sorted({w.decode("utf-8", "surrogatepass") for w in words_of(t) if reader.known.all([w])[0] == 2}) for t in rows]
             return {"toxic": batch.column("toxic"), "near": near, "x": [list(reader.features(t)) for t in rows]}
 
         return step

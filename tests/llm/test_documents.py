@@ -134,6 +134,15 @@ def test_quotation_counts_apart():
     assert reader.features(None) == reader.features("") == (0.0, 0.0, 0.0)
 
 
+def test_marks_beside_a_word_and_long_quotations():
+    reader = toxicity.Lexicon(words=["idiot"]).reader()
+    for text in ("idiot", "(idiot)", "idiot’s", "‘idiot’", "„idiot\nand", "“idiot"):
+        assert reader.features(text)[0] > 0 and reader.features(text)[1] == 0, text
+    for text in ("“idiot”", "«idiot»", "„idiot“", '"idiot ' + "and so on " * 200 + '"', "“x idiot " + "word " * 300 + "idiot”"):
+        assert reader.features(text)[0] == 0 and reader.features(text)[1] > 0, text
+    assert reader.features('"idiot and\n so on"')[1] == 0
+
+
 def test_toxicity_held_out(spark):
     sf_dir = "/root/testdata/sf0.1"
     labels = {r["doc_id"]: r["toxic"] for r in real("labels", sf_dir)}
