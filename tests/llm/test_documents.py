@@ -244,16 +244,64 @@ def test_components(spark):
     assert got == {n: reached(links, n) for n in list(links)}
 
 
-def test_compact_windows_cover_every_stretch():
+def test_compact_windows_equal_plain_ones():
+    """Of several documents at once, ties among the hashes included: the windows, and that each stretch lies in one."""
     rng = np.random.default_rng(0)
-    for k in range(20):
-        h = rng.integers(0, 30 if k % 2 else 10**9, int(rng.integers(5, 90))).astype(np.uint64)
+    for k in range(60):
+        bounds = np.cumsum([0, *rng.integers(0, 60, int(rng.integers(1, 5)))])
+        h = rng.integers(1, 12 if k % 2 else 10**9, bounds[-1]).astype(np.uint64)
         width = int(rng.integers(2, 12))
-        found = passages.windows(h, width)
-        assert all(r - l + 1 >= width and h[l : r + 1].min() == v and all(h[p] == v for p in places) for v, places, l, r in found)
-        for x in range(len(h)):
-            for y in range(x + width - 1, len(h)):
-                assert any(v == h[x : y + 1].min() and l <= x and y <= r for v, _, l, r in found)
+        got = set(zip(*(x.tolist() for x in passages.windows(h, bounds, width)), strict=True))
+        want = set()
+        for a, b in zip(bounds.tolist(), bounds[1:].tolist(), strict=False):
+            for c in range(a, b):
+                left = next((i + 1 for i in range(c, a - 1, -1) if h[i] < h[c]), a)
+                right = next((i - 1 for i in range(c, b) if h[i] < h[c]), b - 1)
+                if right - left + 1 >= width and not (c > a and h[c - 1] == h[c]):
+                    want.add((int(h[c]), c, left, right))
+            for x in range(a, b - width + 1):
+                assert any(v == h[x : x + width].min() and left <= x and x + width - 1 <= right for v, _, left, right in got)
+        assert got == want
+
+
+def test_keys_hold_each_repeated_passage_and_most_near_ones():
+    """A stretch of 50 words has the same keys wherever it stands; of near ones the share that is found is measured."""
+    r, near = random.Random(4), []
+    for n in range(300):
+        base = text(50, 5000 + n).split()
+        changed = list(base)
+        own = {tuple(base[i : i + 5]) for i in range(46)}
+        like = 1.0
+        while n % 3 and like > 0.84:
+            changed[r.randrange(50)] = f"z{r.random()}"
+            other = {tuple(changed[i : i + 5]) for i in range(46)}
+            like = len(own & other) / len(own | other)
+        docs = [text(r.randrange(60), 6000 + n * 2 + k) + " " + " ".join(x) + " " + text(r.randrange(60), 7000 + n * 2 + k) for k, x in enumerate((base, changed))]
+        key, doc, lo, hi = passages._keys(*shingles(*hashed_words(pa.array(docs)), 5))
+        assert ((hi - lo >= 0) & (hi - lo < 46)).all()
+        met = bool(set(key[doc == 0].tolist()) & set(key[doc == 1].tolist()))
+        if like == 1.0:
+            assert met
+        elif like >= 0.8:
+            near.append(met)
+    assert len(near) > 60 and sum(near) >= 0.9 * len(near)
+
+
+def test_equal_texts_are_one_passage_and_one_stays(spark, tables):
+    long, short = text(80, 900), text(20, 901)
+    rows = [(1, long), (2, long), (2, long), (None, long), (4, short), (5, short), (6, text(70, 902)), (6, text(70, 902)), (7, long + " " + text(60, 903))]
+    got = passages.op6_passages(spark, tables(documents=[("doc_id", "text"), *rows])).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        if r.doc_id in (1, 2, None):
+            assert r.repeated and r.component_id == 1 and r.n_repeated == 80 and r.spans == "0:80"
+        elif r.doc_id == 7:
+            assert r.repeated and r.component_id == 1 and r.spans == "0:80"
+        else:
+            assert not r.repeated and r.n_cut == 0 and r.component_id == r.doc_id
+    cut = sorted((r.doc_id or 0, r.n_cut) for r in got if r.repeated)
+    assert [c for c in cut if c[0] in (0, 2)] == [(0, 80), (2, 80), (2, 80)]
+    assert sum(n for i, n in cut if i in (1, 7)) == 80  # of the text and the one that holds it, one is cut
 
 
 def test_passages_that_repeat(spark, tables):
