@@ -180,3 +180,13 @@ def test_a_hot_key_is_spread(spark):
     finally:
         for c, v in before.items():
             spark.conf.set(c, v)
+
+
+def test_a_repeated_side_is_not_broadcast(spark):
+    """Adaptive execution measures the side with one row per key before it is repeated, and must not broadcast it afterwards."""
+    from orderloom.operators.joins import join_one_per_key
+
+    df = spark.range(5000).selectExpr("id % 700 AS k", "id AS v")
+    for how in ("left", "left_anti"):
+        text = final_plan(join_one_per_key(df, df.filter("k < 300").select("k").distinct(), ["k"], how))
+        assert "SortMergeJoin" in text and "Broadcast" not in text

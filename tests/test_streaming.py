@@ -255,6 +255,18 @@ def test_unify_keeps_batch_rows_and_adds_new_orders(spark):
     assert rows(merged) == expected
 
 
+def test_unify_shuffles_events_and_batch_keys_once(spark):
+    """Events of one row per key are joined where their aggregate left them, and no key is repeated."""
+    batch = spark.range(9).selectExpr("CAST(id AS string) AS order_id", "'S' AS order_status")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(unify.unify(batch, batch.withColumn("batch_id", F.lit(1)), "orders"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert text.count("Exchange") == 2 and "_salt" not in text
+
+
 def test_wide_payload(spark):
     message = {"order_id": "o1", "payment_type": "cc", "payment_installments": 1, "payment_value": 2, "payment_sequential": 3}
     kept = cleaners.clean_events(_bodies(spark, message), "payments", WIDE_EVENT_SCHEMAS["payments"])
