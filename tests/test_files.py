@@ -101,6 +101,21 @@ def test_changed_splits_are_refused(spark, tmp_path):
         spark.conf.set(key, before)
 
 
+def test_small_splits_share_tasks(spark, tmp_path):
+    """Neither the tasks nor what each of them unpacks grows with the number of splits."""
+    records = [f'r{n},"line 1 of {n}\nline 2"' for n in range(4000)]
+    _drop(tmp_path / "s", "a.csv", "id,text\n" + "\n".join(records) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "512")
+    try:
+        found = landing.records(spark, [f"{tmp_path}/s/a.csv"])
+        assert sorted(r.record for r in found.collect()) == sorted(records)
+        tasks = spark.sparkContext.defaultParallelism
+        assert found.rdd.getNumPartitions() <= tasks + int(spark.conf.get("spark.sql.shuffle.partitions"))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_fields_are_rescued_one_by_one(spark, tmp_path):
     _drop(tmp_path / "r", "a.csv", "id,n,at\nx,1,2018-01-01\ny,oops,2018-01-02\nz,many,never\nw,,\nv,5\n")
     (layout,) = landing.layouts(spark, [f"{tmp_path}/r/a.csv"])
