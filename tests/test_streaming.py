@@ -267,6 +267,14 @@ def test_unify_shuffles_events_and_batch_keys_once(spark):
     assert text.count("Exchange") == 2 and "_salt" not in text
 
 
+@pytest.mark.parametrize("table", cleaners.CONTRACTS)
+def test_each_text_is_parsed_once(spark, table):
+    bodies = spark.createDataFrame([("not json",), ("not json",), (None,), ('{"order_id": "o1"}',)], "Body string")
+    for cleaned in (cleaners.clean_events(bodies, table), cleaners.tag_events(bodies, table)):
+        assert plan(cleaned).count("from_json(") == 1
+    assert rows(cleaned, "Body") == [(None,), ("not json",), ("not json",), ('{"order_id": "o1"}',)]
+
+
 def test_wide_payload(spark):
     message = {"order_id": "o1", "payment_type": "cc", "payment_installments": 1, "payment_value": 2, "payment_sequential": 3}
     kept = cleaners.clean_events(_bodies(spark, message), "payments", WIDE_EVENT_SCHEMAS["payments"])
