@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
+
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from orderloom.plans import batch, gold, kpi
 from orderloom.schemas import ENTITIES, MULTILINE_ENTITIES
@@ -169,3 +172,20 @@ def test_scratch_root_is_in_a_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     assert scratch_root(spark) != scratch_root(spark)
     assert scratch_root(spark).startswith(shared.rstrip("/"))
+
+
+def test_tables_are_small_and_their_shuffles_go(spark, tmp_path):
+    """Ids in hexadecimal take about half their characters, and writing leaves no setting behind, side by side or nested."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    seen = []
+    ids = spark.range(40_000).select(F.md5(F.col("id").cast("string")).alias("id")).repartition(2)
+    batch.each(spark, ["a", "b", "c"], lambda name: tables.overwrite(ids, f"{tmp_path}/{name}"))
+    with tables._shuffles_go(spark):
+        seen.append(spark.conf.get(key))
+        tables.write_run(ids, f"{tmp_path}/runs", "r1")
+        seen.append(spark.conf.get(key))
+    assert seen == ["true", "true"] and spark.conf.get(key, None) == before
+    for name in ("a", "b", "c", "runs"):
+        size = sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(tmp_path / name) for f in fs if f.endswith(".parquet"))
+        assert size < 40_000 * 32 * 0.7
