@@ -190,3 +190,17 @@ def test_a_repeated_side_is_not_broadcast(spark):
     for how in ("left", "left_anti"):
         text = final_plan(join_one_per_key(df, df.filter("k < 300").select("k").distinct(), ["k"], how))
         assert "SortMergeJoin" in text and "Broadcast" not in text
+
+
+def test_customers_meet_orders_before_items(spark):
+    """Items are many and wide: what hangs on an order joins the orders, so items are not shuffled by customer."""
+    from testbed.queries import QUERIES
+
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        text = plan(QUERIES["jn6_fact_dimensions"](spark, "/root/testdata/sf0.001"))
+    finally:
+        spark.conf.set(key, before)
+    assert text.index("Exchange hashpartitioning(order_id") < text.index("Exchange hashpartitioning(customer_id")
