@@ -22,7 +22,6 @@ import hashlib
 import heapq
 from array import array
 from collections.abc import Iterable, Sequence
-from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -35,11 +34,14 @@ from llm.memo import Remembered
 from llm.pretokens import splitter
 
 #: Byte strings up to this length are leaves of the tree.
-LEAF = 6
+LEAF = 12
 #: Above this length a window is merged through a heap.
 SHORT = 64
 #: What a worker remembers at most: matches of the pattern (twice that), leaves and pairs.
-MATCHES, LEAVES, PAIRS = 60_000, 60_000, 100_000
+MATCHES, LEAVES, PAIRS = 100_000, 60_000, 100_000
+
+#: Above any rank.
+_NONE = 1 << 62
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -54,11 +56,11 @@ class Bpe:
         self.split = splitter(pattern)
         self._fits: dict[tuple[int, int], bool] = {}
         self._leaves: dict[bytes, list[int]] = {}
-        self._matches = Remembered(lambda new: [array("i", self.encode_bytes(x.encode())) for x in new], MATCHES)
+        self._matches = Remembered(lambda new: [array("i", self.encode_bytes(x.encode())).tobytes() for x in new], MATCHES)
 
     def merge(self, data: bytes) -> list[int]:
         """Merges the neighbours of lowest rank, the leftmost first, until none has a rank."""
-        if len(data) <= 2 * LEAF:
+        if len(data) <= LEAF:
             found = self._leaves.get(data)
             if found is None:
                 if len(self._leaves) >= LEAVES:
@@ -68,17 +70,17 @@ class Bpe:
         return self._merge_short(data) if len(data) <= SHORT else self._merge_long(data)
 
     def _merge_short(self, data: bytes) -> list[int]:
-        ranks, parts = self.ranks, [data[i : i + 1] for i in range(len(data))]
-        while len(parts) > 1:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                r = ranks.get(parts[i] + parts[i + 1])
-                if r is not None and (best is None or r < best):
-                    best, at = r, i
-            if best is None:
-                break
+        rank, parts = self.ranks.get, [data[i : i + 1] for i in range(len(data))]
+        pairs = [rank(data[i : i + 2], _NONE) for i in range(len(data) - 1)]  # of each part and the next one
+        while pairs and (best := min(pairs)) < _NONE:
+            at = pairs.index(best)
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return [ranks[p] for p in parts]
+            del pairs[at]
+            if at:
+                pairs[at - 1] = rank(parts[at - 1] + parts[at], _NONE)
+            if at < len(pairs):
+                pairs[at] = rank(parts[at] + parts[at + 1], _NONE)
+        return [self.ranks[p] for p in parts]
 
     def _merge_long(self, data: bytes) -> list[int]:
         ranks, n = self.ranks, len(data)
@@ -139,7 +141,7 @@ class Bpe:
         return self.join(self.encode_bytes(data[:half]), self.encode_bytes(data[half:]))
 
     def encode(self, text: str) -> array:
-        return array("i", chain.from_iterable(self._matches.all(self.split(text))))
+        return array("i", b"".join(self._matches.all(self.split(text))))
 
     def decode(self, ids: Sequence[int]) -> bytes:
         """Concatenates up the same kind of tree."""

@@ -140,3 +140,20 @@ def test_one_doc_id_fills_many_files(spark, tmp_path, monkeypatch):
     assert len(rows) == 600 and [r.doc_id for r in rows] == sorted(r.doc_id for r in rows)
     assert len({r.file for r in rows if r.doc_id == 7}) > 5
     assert [r.start for r in rows] == [sum(x.n_tokens for x in rows[:i]) for i in range(600)]
+
+
+def test_short_merges_look_up_each_pair_once():
+    """A merge changes two pairs: the others are not looked up anew, so look-ups grow with the length, not with its square."""
+
+    class Counted(dict):
+        asked = 0
+
+        def get(self, *args):
+            Counted.asked += 1
+            return super().get(*args)
+
+    data = ("abcdefgh" * 8).encode()
+    counted = bpe.Bpe(Counted(BPE.ranks), P.PATTERN)
+    assert counted._merge_short(data) == BPE._merge_long(data)
+    assert Counted.asked <= 3 * len(data)
+    assert counted._merge_short(b"") == [] and counted._merge_short(b"a") == [BPE.ranks[b"a"]]
