@@ -189,3 +189,14 @@ def test_tables_are_small_and_their_shuffles_go(spark, tmp_path):
     for name in ("a", "b", "c", "runs"):
         size = sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(tmp_path / name) for f in fs if f.endswith(".parquet"))
         assert size < 40_000 * 32 * 0.7
+
+
+def test_a_run_can_free_what_it_replaces(spark, lake):
+    """A second run with retire_after=0 leaves one version of each table, with the same rows."""
+    sellers = spark.createDataFrame([("s1", "x"), ("s2", "y")], "seller_id string, seller_city string")
+    for _ in range(2):
+        tables.overwrite(sellers, lake.gold("dim_sellers"))
+    tables.overwrite(sellers.select("seller_id", F.lit("1").alias("seller_zip_code_prefix"), "seller_city", F.lit("SP").alias("seller_state")), lake.silver("sellers"))
+    batch.publish_gold(spark, lake, "dim_sellers", retire_after=0)
+    assert len(tables.matching(spark, f"{lake.gold('dim_sellers')}/version-*")) == 1
+    assert tables.read_path(spark, lake.gold("dim_sellers")).count() == 2
