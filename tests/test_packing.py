@@ -42,3 +42,12 @@ def test_the_fact_join_moves_packed_ids_and_missing_ones_meet_none(spark):
     fact = gold.fact_orders(items, orders)
     assert rows(fact, "order_id", "product_id", "seller_id", "customer_id") == [(HEX, HEX, "s", "c"), ("x", HEX, "s", "c")]
     assert "unhex" in plan(fact)
+
+
+def test_a_join_on_another_id_packs_none_in_filters(spark):
+    raw = spark.createDataFrame([], "order_id string, order_item_id string, product_id string, seller_id string, shipping_limit_date string, price string, freight_value string")
+    items = silver.clean(raw, "order_items").valid
+    orders = spark.createDataFrame([], "order_id string, customer_id string, order_purchase_timestamp timestamp")
+    products = spark.createDataFrame([], "product_id string, product_category_name string").filter("trim(product_id) <> ''")
+    text = gold.fact_orders(items, orders).join(products, "product_id")._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in text.splitlines() if "Filter" in line and "unhex" in line]
