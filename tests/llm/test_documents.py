@@ -4,13 +4,14 @@ import hashlib
 import random
 import zlib
 from collections import defaultdict
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
 from llm import components, decontam, jaccard, passages, toxicity
-from llm.common import table
+from llm.common import shared_folder, table
 from llm.fmindex import FmIndex, suffix_order
 from llm.words import hashed_words, shingles, word_list
 from tests.llm.conftest import SF_DIR, real, words
@@ -383,6 +384,45 @@ def test_a_short_line_that_many_share_is_no_passage(spark, tables):
     assert {i for i, r in got.items() if r.repeated} == {20, 33} and got[33].component_id == 20 and got[20].spans == "60:119"
 
 
+def test_near_passages_around_a_line_that_others_share(spark, tables):
+    """Of six documents that hold a line of 46 words two share 52, but for a word: both fail against a leader that holds the line alone."""
+    docs = {}
+    for n in range(12):
+        line, before, after = text(46, 8000 + n).split(), text(2, 8100 + n).split(), text(4, 8200 + n).split()
+        for i in range(6):
+            middle = [*before, *line, *after] if i < 2 else list(line)
+            if i == 1:
+                middle[27] = f"z{n}"
+            docs[10 * n + i] = text(60, 12000 + 10 * n + i) + " " + " ".join(middle) + " " + text(60, 13000 + 10 * n + i)
+    got = {r.doc_id: r for r in passages.op6_passages(spark, tables(documents=[("doc_id", "text"), *docs.items()])).collect()}
+    assert {i for i, r in got.items() if r.repeated} == {i for i in docs if i % 10 < 2}
+    assert all(got[10 * n + 1].component_id == 10 * n for n in range(12))
+
+
+def test_keys_meet_nearly_all_near_passages():
+    """Passages of 50 words in which one word is another, so that 41 of 51 shingles are common: the least similar that count."""
+    r, met = random.Random(7), 0
+    for n in range(300):
+        base = text(50, 9000 + n).split()
+        changed = list(base)
+        changed[r.randrange(4, 46)] = f"z{n}"
+        docs = [text(r.randrange(60), 9400 + n * 2 + k) + " " + " ".join(x) + " " + text(r.randrange(60), 10400 + n * 2 + k) for k, x in enumerate((base, changed))]
+        key, doc, *_ = passages._keys(*shingles(*hashed_words(pa.array(docs)), 5))
+        met += bool(set(key[doc == 0].tolist()) & set(key[doc == 1].tolist()))
+    assert met >= 0.98 * 300
+
+
+def test_tables_on_the_way_are_deleted(spark, tables):
+    """Of all that is written only the tables that the answer reads stay."""
+    docs = {i: text(60, 11000 + i // 2) + " " + text(60, 11100 + i) for i in range(8)}
+    path = tables(documents=[("doc_id", "text"), *docs.items()])
+    folder = Path(shared_folder(spark).removeprefix("file://").removeprefix("file:"))
+    before = set(folder.glob("llm-*"))
+    assert passages.op6_passages(spark, path).filter("repeated").count() == 8
+    left = {p.name.split("-")[1] for p in set(folder.glob("llm-*")) - before}
+    assert not left & {"records", "candidates", "snippets", "half", "dealt", "grouped"}
+
+
 def test_passages_edges(spark, tables):
     got = passages.op6_passages(spark, tables(documents=[("doc_id", "text"), *EDGE])).collect()
     assert len(got) == len(EDGE)
