@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm.common import per_batch, table, written
+from llm.common import passing, per_batch, table, written
 from llm.components import components, joined
 from llm.words import hashed_words, mix, shingles
 
@@ -240,13 +240,45 @@ def join(docs: DataFrame) -> DataFrame:
     component tells classes apart even where they share their least doc_id; null without words.
     """
     docs = _keyed(docs)
-    signed = written(_signed(docs), "signed")
-    levels = [f"level{k}" for k in range(DEPTH)]
-    sound = signed.filter("cls is not null")
-    sizes = written(sound.groupBy("cls").agg(F.count("*").alias("copies"), F.min("doc_id").alias("first_id"), F.min("row").alias("row")), "classes")
-    # one row of each class holds its paths; rows with equal doc_id and text share `row` and all else
-    paths = sound.select("cls", "row", *levels).join(sizes.select("cls", "row"), ["cls", "row"], "left_semi").dropDuplicates(["cls"])
-    leaves = _leaves(written(paths, "paths"))
+    with passing(docs.sparkSession) as keep:
+        named, of_class = _classes(docs)
+        keep(named), keep(of_class)
+    ends = named.filter("cls is not null").select("doc_id", "row", "cls").join(of_class, "cls").select("doc_id", "row", "n_links", "class_id", "component")
+    return ends.union(named.filter("cls is null").selectExpr("doc_id", "row", "0L", "doc_id", "cast(null as long)"))
+
+
+def _bucketed(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """doc_id, row, cls of each row; copies, first_id and a row of each class; the classes' buckets."""
+    spark = docs.sparkSession
+    with passing(spark) as keep:
+        signed = written(_signed(docs), "signed")
+        levels = [f"level{k}" for k in range(DEPTH)]
+        sound = signed.filter("cls is not null")
+        sizes = keep(written(sound.groupBy("cls").agg(F.count("*").alias("copies"), F.min("doc_id").alias("first_id"), F.min("row").alias("row")), "classes"))
+        # one row of each class holds its paths; rows with equal doc_id and text share `row` and all else
+        paths = sound.select("cls", "row", *levels).join(sizes.select("cls", "row"), ["cls", "row"], "left_semi").dropDuplicates(["cls"])
+        paths = keep(written(paths, "paths"))
+        named = keep(written(signed.select("doc_id", "row", "cls"), "named"))
+    with passing(spark) as keep:
+        leaves = keep(_leaves(paths))
+    return named, sizes, leaves
+
+
+def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """doc_id, row, cls of each row, and n_links, class_id and component of each class."""
+    named, sizes, leaves = _bucketed(docs)
+    with passing(docs.sparkSession) as keep:
+        found = keep(_found(docs, sizes, leaves))
+    whole = components(found.selectExpr("cls as a", "root as b"))
+    links = found.groupBy("cls").agg(F.sum("links").alias("links"))
+    least = whole.join(sizes, F.col("node") == F.col("cls")).groupBy("component").agg(F.min("first_id").alias("least"))
+    of_class = sizes.join(links, "cls", "left").join(whole, F.col("cls") == F.col("node"), "left").join(least, "component", "left")
+    of_class = of_class.selectExpr("cls", "copies - 1 + coalesce(links, 0) as n_links", "coalesce(least, first_id) as class_id", "coalesce(component, cls) as component")
+    return named, written(of_class, "of-class")
+
+
+def _found(docs: DataFrame, sizes: DataFrame, leaves: DataFrame) -> DataFrame:
+    """cls, links, root: the links that each bucket counts, and the least class reached there."""
     mine = leaves.groupBy("cls").agg(F.sort_array(F.collect_set("leaf")).alias("mine")).join(sizes, "cls")
     mine = written(mine.select("cls", "mine", "copies", "row"), "mine")
     small = by_group(leaves.filter(F.col("n") <= SMALL).join(mine, "cls").select("leaf", "cls", "n", "mine"), ["leaf"], _counting, "cls long, leaf long, n long")
@@ -267,14 +299,7 @@ def join(docs: DataFrame) -> DataFrame:
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     dealt = dealt.select("leaf", "cls", "tile", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"))
     dealt = dealt.join(members.select("cls", "mine", "copies"), "cls").join(sets, F.col("cls") == F.col("of")).drop("of")
-    found = written(by_group(dealt, ["leaf", "i", "j"], _linked, "cls long, links long, root long"), "linked")
-    whole = components(found.selectExpr("cls as a", "root as b"))
-    links = found.groupBy("cls").agg(F.sum("links").alias("links"))
-    least = whole.join(sizes, F.col("node") == F.col("cls")).groupBy("component").agg(F.min("first_id").alias("least"))
-    of_class = sizes.join(links, "cls", "left").join(whole, F.col("cls") == F.col("node"), "left").join(least, "component", "left")
-    of_class = written(of_class.selectExpr("cls", "copies - 1 + coalesce(links, 0) as n_links", "coalesce(least, first_id) as class_id", "coalesce(component, cls) as component"), "of-class")
-    ends = sound.select("doc_id", "row", "cls").join(of_class, "cls").select("doc_id", "row", "n_links", "class_id", "component")
-    return ends.union(signed.filter("cls is null").selectExpr("doc_id", "row", "0L", "doc_id", "cast(null as long)"))
+    return written(by_group(dealt, ["leaf", "i", "j"], _linked, "cls long, links long, root long"), "linked")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
@@ -282,10 +307,11 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
     Rows without words link with nothing and all stay. Of rows equal in doc_id and text one stays, whatever else they hold.
     """
-    rows = written(join(docs.select("doc_id", "text")).groupBy("component", "doc_id", "row").agg(F.count("*").alias("copies")), "kept-of")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "copies"))
-    kept = rows.filter("component is not null").groupBy("component").agg(first.alias("first")).selectExpr("first.row as row", "first.copies as copies")
-    kept = written(kept.union(rows.filter("component is null").selectExpr("row", "1L")), "kept")
+    with passing(docs.sparkSession) as keep:  # of all that finds them only the rows that stay are read later
+        rows = written(join(docs.select("doc_id", "text")).groupBy("component", "doc_id", "row").agg(F.count("*").alias("copies")), "kept-of")
+        first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "copies"))
+        kept = rows.filter("component is not null").groupBy("component").agg(first.alias("first")).selectExpr("first.row as row", "first.copies as copies")
+        kept = keep(written(kept.union(rows.filter("component is null").selectExpr("row", "1L")), "kept"))
     doc_id, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
     packed = docs.select(F.struct("*").alias("all"), F.xxhash64(doc_id, text).alias("row"))
     single = packed.join(kept.filter("copies = 1"), "row", "left_semi").select("all")

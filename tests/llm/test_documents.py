@@ -423,6 +423,22 @@ def test_tables_on_the_way_are_deleted(spark, tables):
     assert not left & {"records", "candidates", "snippets", "half", "dealt", "grouped"}
 
 
+def test_near_copies_leave_what_is_read_alone(spark, tables):
+    copies = text(40, 14000)
+    path = tables(documents=[("doc_id", "text"), (1, copies), (2, copies + " one"), (3, copies), (4, text(40, 14001)), (5, None)])
+    folder = Path(shared_folder(spark).removeprefix("file://").removeprefix("file:"))
+
+    def left(before):
+        return sorted(p.name.removeprefix("llm-")[:-33] for p in set(folder.glob("llm-*")) - before)
+
+    before = set(folder.glob("llm-*"))
+    kept = jaccard.keep_one(table(spark, path, "documents"))
+    assert left(before) == ["kept"] and {r.doc_id for r in kept.collect()} == {1, 4, 5}
+    before = set(folder.glob("llm-*"))
+    got = {r.doc_id: (r.n_links, r.class_id) for r in jaccard.op5_jaccard_join(spark, path).collect()}
+    assert left(before) == ["named", "of-class"] and got == {1: (2, 1), 2: (2, 1), 3: (2, 1), 4: (0, 4), 5: (0, 5)}
+
+
 def test_passages_edges(spark, tables):
     got = passages.op6_passages(spark, tables(documents=[("doc_id", "text"), *EDGE])).collect()
     assert len(got) == len(EDGE)
