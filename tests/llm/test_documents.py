@@ -399,6 +399,29 @@ def test_near_passages_around_a_line_that_others_share(spark, tables):
     assert all(got[10 * n + 1].component_id == 10 * n for n in range(12))
 
 
+def test_near_passages_around_a_line_that_hundreds_share(spark, tables):
+    """Four times: of 280 documents that hold a line of 40 words two share 54 around it, but for a word: they meet by what the others lack."""
+    docs = {}
+    for n in range(4):
+        line, before, after = text(40, 14000 + n).split(), text(7, 14100 + n).split(), text(7, 14200 + n).split()
+        for i in range(280):
+            middle = [*before, *line, *after] if i in (100, 200) else list(line)
+            if i == 200:
+                middle[27] = f"z{n}"
+            docs[1000 * n + i] = text(50, 20000 + 1000 * n + i) + " " + " ".join(middle) + " " + text(50, 30000 + 1000 * n + i)
+    got = {r.doc_id: r for r in passages.op6_passages(spark, tables(documents=[("doc_id", "text"), *docs.items()])).collect()}
+    assert {i for i, r in got.items() if r.repeated} == {i for i in docs if i % 1000 in (100, 200)}
+    assert all(got[1000 * n + 200].component_id == 1000 * n + 100 for n in range(4))
+
+
+def test_two_shingles_a_passage_apart():
+    """Of shingles at these places those that a passage may begin with and reach."""
+    at, first = np.array([0, 3, 44, 45, 67, 68, 69, 200]), passages.LENGTH - passages.SIZE
+    key, lo, hi = passages.spans_apart(at, at.astype(np.uint64))
+    assert sorted(zip(lo.tolist(), hi.tolist(), strict=True)) == sorted((int(a), int(b)) for a in at for b in at if first <= b - a <= first + 23)
+    assert len(set(key.tolist())) == len(key)
+
+
 def test_keys_meet_nearly_all_near_passages():
     """Passages of 50 words in which one word is another, so that 41 of 51 shingles are common: the least similar that count."""
     r, met = random.Random(7), 0
