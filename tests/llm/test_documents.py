@@ -414,6 +414,12 @@ def test_near_passages_around_a_line_that_hundreds_share(spark, tables):
     assert all(got[1000 * n + 200].component_id == 1000 * n + 100 for n in range(4))
 
 
+def test_of_two_places_in_a_text_the_later_one_goes(spark):
+    grouped = spark.createDataFrame([(1, 3, 5, 10, 20), (1, 3, 5, 100, 110)], "key long, n long, row long, lo int, hi int")
+    (pair,) = passages._others(grouped, grouped).collect()
+    assert (pair.row, pair.lead, pair.shift, pair.lo, pair.hi) == (5, 5, 90, 100, 110)
+
+
 def test_two_shingles_a_passage_apart():
     """Of shingles at these places those that a passage may begin with and reach."""
     at, first = np.array([0, 3, 44, 45, 67, 68, 69, 200]), passages.LENGTH - passages.SIZE
